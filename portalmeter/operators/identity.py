@@ -21,8 +21,7 @@ def _is_filled(column: str) -> Column:
 
 def package_ref(url: Column, cfg: PortalConfig) -> Column:
     """Name or id in the path of a dataset page; NULL for any other path."""
-    ref = F.regexp_extract(url, cfg.dataset_page_pattern, 1)
-    return F.when(ref != "", ref)
+    return F.nullif(F.regexp_extract(url, cfg.dataset_page_pattern, 1), F.lit(""))
 
 
 def catalogue_identities(package: DataFrame, extra: DataFrame, group: DataFrame) -> DataFrame:
@@ -46,18 +45,24 @@ def catalogue_identities(package: DataFrame, extra: DataFrame, group: DataFrame)
 def _join_package(hits: DataFrame, url_col: str, identities: DataFrame, cfg: PortalConfig) -> DataFrame:
     """Add ``package_id`` and the package fields by id or else by name.
 
-    The hits are partitioned by the reference once; both joins use that partitioning.
+    The catalogue is listed under both references at once, an id going before an equal name, so that it is read
+    once and the hits meet it in a single join.
     """
     fields = ("package_id", *PACKAGE_FIELDS)
-    by_id = identities.select(F.col("package_id").alias("ref"), F.struct(*fields).alias("by_id"))
-    by_name = identities.select(F.col("package_name").alias("ref"), F.struct(*fields).alias("by_name"))
-    found = F.coalesce("by_id", "by_name")
+    references = F.array(
+        F.struct(F.lit(0).alias("rank"), F.col("package_id").alias("known_ref")),
+        F.struct(F.lit(1).alias("rank"), F.col("package_name").alias("known_ref")),
+    )
+    known = (
+        identities.select("*", F.inline(references))
+        .groupBy("known_ref")
+        .agg(F.min(F.struct("rank", *fields)).alias("found"))
+    )
     return (
         hits.withColumn("ref", package_ref(F.col(url_col), cfg))
-        .join(by_id, "ref", "left")
-        .join(by_name, "ref", "left")
-        .withColumns({name: found[name] for name in fields})
-        .drop("ref", "by_id", "by_name")
+        .join(known, F.col("ref") == F.col("known_ref"), "left")
+        .withColumns({name: F.col(f"found.{name}") for name in fields})
+        .drop("ref", "known_ref", "found")
     )
 
 
@@ -111,6 +116,7 @@ def resolve_resource(
     row per month, address and page, as ``resource_hits`` gives it. Per dataset and address only the first file
     can win, so the catalogue shrinks to that before the join and each spelling meets at most one row.
     """
+    row_key = ("url", "package_url", "year_month")
     first_files = (
         resource.where(F.coalesce("state", F.lit("")) != "deleted")
         .groupBy("package_id", F.col("url").alias("spelling"))
@@ -119,7 +125,8 @@ def resolve_resource(
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
     candidates = pages.withColumn("spelling", F.explode(spellings(F.col("url"))))
     matched = candidates.join(first_files, ["package_id", "spelling"], "left")
-    best = matched.groupBy(*hits.columns, *PACKAGE_FIELDS).agg(F.min("file").alias("file"))
+    carried = [c for c in (*hits.columns, *PACKAGE_FIELDS) if c not in row_key]
+    best = matched.groupBy(*row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])
     return best.select(
         *hits.columns,
         F.col("file.resource_id").alias("resource_id"),

@@ -12,13 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portalmeter import fixed_values as fixed
 
-SUPPLIERS = "(select count(*) from {supplier})"
+# Each supplier stands for an organisation; there are 20 parts and 15 customers to one.
+PARTS_PER_SUPPLIER, CUSTOMERS_PER_SUPPLIER = 20, 15
 
 
 def _text(expression: str) -> str:
     return f"cast({expression} as string)"
 
 
+def _share(key: str, size: int) -> str:
+    return f"cast(floor({key} / {size}) as bigint)"
+
+
 def _month(ts: str) -> str:
     return f"make_date(year({ts}), month({ts}), 1)"
 
@@ -34,13 +39,17 @@ def _pick(expression: str, values: tuple[str, ...]) -> str:
 
 # Address of a file as the catalogue has it, from a dataset and a file number.
 FILE_URL = (
-    "case when l_linenumber = 3 then concat('http://f.example.org/año/', cast(l_partkey as string), '/3') "
-    "when l_linenumber = 4 then concat('http://f.example.org/a b/', cast(l_partkey as string), '/4') "
-    "else concat('http://f.example.org/', cast(l_partkey as string), '/', cast(l_linenumber as string)) end"
+    "case when ln = 3 then concat('http://f.example.org/año/', cast(pk as string), '/3') "
+    "when ln = 4 then concat('http://f.example.org/a b/', cast(pk as string), '/4') "
+    "else concat('http://f.example.org/', cast(pk as string), '/', cast(ln as string)) end"
+)
+# How a hit tells it: 0 as it is, 1 with a slash, 2 encoded, 3 unknown, 4 in a wrong charset, 5 with a plus sign.
+HIT_SPELLING = (
+    "case when l_suppkey % 6 = 4 and l_linenumber <> 3 then 0 when l_suppkey % 6 = 5 and l_linenumber <> 4 then 0 "
+    "else l_suppkey % 6 end"
 )
-# The same as told by a hit: as it is, with a slash, encoded, unknown, in a wrong charset, with a plus sign.
 HIT_FILE_URL = (
-    f"case l_suppkey % 6 when 0 then {FILE_URL} when 1 then concat({FILE_URL}, '/') "
+    f"case spelling when 0 then {FILE_URL} when 1 then concat({FILE_URL}, '/') "
     f"when 2 then replace(replace({FILE_URL}, ':', '%3A'), '/', '%2F') "
     f"when 3 then concat({FILE_URL}, '/gone') "
     f"when 4 then replace({FILE_URL}, 'ñ', 'Ã±') "
@@ -48,11 +57,11 @@ HIT_FILE_URL = (
 )
 # Page of the dataset: by name, by id, or of a dataset the catalogue does not have.
 FILE_PAGE = (
-    "case when l_partkey % 17 = 0 then concat('/catalogo/x-', cast(l_partkey as string)) "
-    "when l_partkey % 5 = 0 then concat('/catalogo/', cast(l_partkey as string)) "
-    "else concat('/catalogo/p-', cast(l_partkey as string)) end"
+    "case when pk % 17 = 0 then concat('/catalogo/x-', cast(pk as string)) "
+    "when pk % 5 = 0 then concat('/catalogo/', cast(pk as string)) "
+    "else concat('/catalogo/p-', cast(pk as string)) end"
 )
-ORG_OF_LINE = f"case when l_partkey % 3 = 0 then l_partkey % {SUPPLIERS} else l_suppkey end"
+ORG_OF_LINE = f"case when l_partkey % 3 = 0 then {_share('l_partkey', PARTS_PER_SUPPLIER)} else l_suppkey end"
 
 VIEWS: dict[str, str] = {}
 
@@ -64,14 +73,14 @@ select {_text('p_partkey')} id, concat('p-', {_text('p_partkey')}) name,
   case when p_partkey % 10 = 9 then 'harvest' else 'dataset' end type,
   case when p_partkey % 13 = 0 then 'deleted' else 'active' end state,
   p_partkey % 7 = 0 private,
-  {_text('p_partkey % ' + SUPPLIERS)} owner_org
+  {_text(_share('p_partkey', PARTS_PER_SUPPLIER))} owner_org
 from {{part}}"""
 
 _SECTOR = _pick("p_size", ("turismo", "salud", "empleo", "deporte", "otra-cosa"))
 VIEWS["package_extra"] = f"""
 select {_text('p_partkey')} package_id, 'publisher' as key,
   case when p_partkey % 29 = 0 then concat('none-', {_text('p_partkey')})
-       else {_text('(p_partkey * 3) % ' + SUPPLIERS)} end as value,
+       else {_text(_share('(p_partkey - p_partkey % 3)', PARTS_PER_SUPPLIER))} end as value,
   case when p_partkey % 37 = 0 then 'deleted' else 'active' end state
 from {{part}}
 union all
@@ -99,12 +108,12 @@ from {{supplier}} where s_suppkey % 11 <> 0"""
 
 _FORMATS = tuple(list(fixed.FORMAT_LABELS)[:12]) + ("application/x-unknown",)
 VIEWS["resource"] = f"""
-select concat({_text('l_orderkey')}, '-', {_text('l_linenumber')}, '-', {_text('l_partkey')}, '-', {_text('l_suppkey')}) id,
-  {_text('l_partkey')} package_id, {FILE_URL} url,
+select concat({_text('l_orderkey')}, '-', {_text('ln')}, '-', {_text('pk')}, '-', {_text('l_suppkey')}) id,
+  {_text('pk')} package_id, {FILE_URL} url,
   {_pick('l_orderkey', _FORMATS)} format,
-  case when l_linenumber = 7 then 'deleted' else 'active' end state,
+  case when ln = 7 then 'deleted' else 'active' end state,
   cast(l_orderkey as int) as position
-from {{lineitem}}"""
+from (select l_orderkey, l_suppkey, l_partkey pk, l_linenumber ln from {{lineitem}}) line"""
 
 # --- fact tables ---------------------------------------------------------------------------------------------
 
@@ -121,19 +130,18 @@ from (select m, pk, org, cast(max(d) as int) end_day, cast(sum(q) as bigint) pag
       group by m, pk, org) monthly"""
 
 VIEWS["resources_fact"] = f"""
-select {_month_name('m')} year_month, end_day, total_events, url,
-  case when is_known then format else null end format, package_url,
+select {_month_name('m')} year_month, end_day, total_events, {FILE_URL} url,
+  case when is_known then {_pick('format_no', _FORMATS)} else null end format, {FILE_PAGE} package_url,
   case when is_known then concat('r-', {_text('pk')}, '-', {_text('ln')}) else '' end resource_id,
   case when is_known then concat('p-', {_text('pk')}) else null end package_name,
   case when is_known then {_text('org')} else null end organization_id,
   case when is_known then {_text('org')} else null end publisher_id
-from (select m, pk, ln, url, package_url, ln <> 6 and not (pk % 19 = 5 and month(m) % 2 = 0) is_known,
-        cast(max(d) as int) end_day, cast(sum(q) as bigint) total_events, max(format) format, max(org) org
-      from (select {_month('l_shipdate')} m, l_partkey pk, l_linenumber ln, {FILE_URL} url, {FILE_PAGE} package_url,
-              {ORG_OF_LINE} org, day(l_shipdate) d, cast(l_quantity as bigint) q,
-              {_pick('l_orderkey', _FORMATS)} format
+from (select m, pk, ln, ln <> 6 and not (pk % 19 = 5 and month(m) % 2 = 0) is_known,
+        cast(max(d) as int) end_day, cast(sum(q) as bigint) total_events, max(format_no) format_no, max(org) org
+      from (select {_month('l_shipdate')} m, l_partkey pk, l_linenumber ln, {ORG_OF_LINE} org, day(l_shipdate) d,
+              cast(l_quantity as bigint) q, l_orderkey % {len(_FORMATS)} format_no
             from {{lineitem}}) line
-      group by m, pk, ln, url, package_url) monthly"""
+      group by m, pk, ln) monthly"""
 
 _SECTIONS = fixed.CONTENT_SECTIONS + fixed.SECTOR_SECTIONS + ("catalogo", "dashboard")
 VIEWS["visits_fact"] = f"""
@@ -172,22 +180,25 @@ from (select event_id, ts, user_id, event_type, event_id % (select count(*) from
 join {{pages}} on page_id = page_no"""
 
 VIEWS["page_hits"] = f"""
-select {_month_name('m')} year_month, cast(max(d) as int) end_day, url, cast(sum(q) as bigint) pageviews
-from (select {_month('l_shipdate')} m, day(l_shipdate) d, cast(l_quantity as bigint) q,
-        case l_orderkey % 4
-          when 0 then concat('/catalogo/p-', {_text('l_partkey')})
-          when 1 then concat('/catalogo/', {_text('l_partkey')}, '/')
-          when 2 then concat('/catalogo/p-', {_text('l_partkey')}, '-', {_text('l_suppkey')})
-          else concat('/catalogo/gone-', {_text('l_partkey')}) end url
-      from {{lineitem}}) hit
-group by m, url"""
+select {_month_name('m')} year_month, end_day,
+  case kind when 0 then concat('/catalogo/p-', {_text('pk')})
+    when 1 then concat('/catalogo/', {_text('pk')}, '/')
+    when 2 then concat('/catalogo/p-', {_text('pk')}, '-', {_text('org')})
+    else concat('/catalogo/gone-', {_text('pk')}) end url,
+  pageviews
+from (select m, pk, kind, org, cast(max(d) as int) end_day, cast(sum(q) as bigint) pageviews
+      from (select {_month('l_shipdate')} m, day(l_shipdate) d, cast(l_quantity as bigint) q, l_partkey pk,
+              l_orderkey % 4 kind, case when l_orderkey % 4 = 2 then l_suppkey else -1 end org
+            from {{lineitem}}) line
+      group by m, pk, kind, org) hit"""
 
 VIEWS["file_hits"] = f"""
-select {_month_name('m')} year_month, cast(max(d) as int) end_day, url, package_url, cast(sum(q) as bigint) total_events
-from (select {_month('l_shipdate')} m, day(l_shipdate) d, cast(l_quantity as bigint) q,
-        {HIT_FILE_URL} url, {FILE_PAGE} package_url
-      from {{lineitem}}) hit
-group by m, url, package_url"""
+select {_month_name('m')} year_month, end_day, {HIT_FILE_URL} url, {FILE_PAGE} package_url, total_events
+from (select m, pk, ln, spelling, cast(max(d) as int) end_day, cast(sum(q) as bigint) total_events
+      from (select {_month('l_shipdate')} m, day(l_shipdate) d, cast(l_quantity as bigint) q, l_partkey pk,
+              l_linenumber ln, {HIT_SPELLING} spelling
+            from {{lineitem}}) line
+      group by m, pk, ln, spelling) hit"""
 
 # --- dashboard tables ----------------------------------------------------------------------------------------
 
@@ -201,7 +212,7 @@ where not (letter = 'U' and month(m) = 2)
 group by m, letter
 union all
 select {_month_name('m')}, 'organization_id', {_text('org')}, count(*)
-from (select {_month('o_orderdate')} m, o_custkey % {SUPPLIERS} + 1 org from {{orders}}) o group by m, org
+from (select {_month('o_orderdate')} m, {_share('o_custkey', CUSTOMERS_PER_SUPPLIER)} + 1 org from {{orders}}) o group by m, org
 union all
 select {_month_name('m')}, 'num_resources', {_text('n')}, count(*)
 from (select {_month('o_orderdate')} m, o_custkey % 12 n from {{orders}}) o group by m, n"""
@@ -236,7 +247,7 @@ select doc_id nid, {_pick('doc_id', _TYPES)} type, md5(text) title, lang langcod
 from {{documents}}"""
 
 VIEWS["node__field_estado"] = f"""
-select doc_id entity_id, n_chars % {SUPPLIERS} field_estado_target_id from {{documents}} where doc_id % 9 <> 0"""
+select doc_id entity_id, n_chars % 10 field_estado_target_id from {{documents}} where doc_id % 9 <> 0"""
 
 VIEWS["taxonomy_term_field_data"] = f"""
 select s_suppkey tid, concat('Estado ', {_text('s_nationkey')}) as name, 'es' langcode from {{supplier}}
@@ -247,7 +258,7 @@ VIEWS["users_field_data"] = """
 select c_custkey uid, case when c_acctbal > 0 then 1 else 0 end status from {customer}"""
 
 VIEWS["user__field_organizacion"] = f"""
-select c_custkey entity_id, c_custkey % {SUPPLIERS} field_organizacion_target_id from {{customer}}
+select c_custkey entity_id, {_share('c_custkey', CUSTOMERS_PER_SUPPLIER)} field_organizacion_target_id from {{customer}}
 union all
 select c_custkey, c_nationkey from {{customer}} where c_custkey % 10 = 0"""
 
