@@ -27,13 +27,23 @@ def cutover_union(
     )
 
 
+def full_match(pattern: str) -> str:
+    """A pattern for the whole value, whatever its case."""
+    return rf"(?iu)\A(?:{pattern})\z"
+
+
+def dimension(name: str) -> Column:
+    """A dimension of a hit; one that is not set counts as empty text."""
+    return F.coalesce(F.col(name), F.lit(""))
+
+
 def rule_predicate(rule: HitRule) -> Column:
-    """One rule as a column; a dimension that is not set counts as empty text."""
-    value = F.coalesce(F.col(rule.column), F.lit(""))
+    """One rule as a column."""
+    value = dimension(rule.column)
     if rule.match == "exact":
         test = F.lower(value) == rule.value.lower()
     elif rule.match == "full_regex":
-        test = value.rlike(rf"(?iu)\A(?:{rule.value})\z")
+        test = value.rlike(full_match(rule.value))
     elif rule.match == "regex":
         test = value.rlike(f"(?iu){rule.value}")
     else:
@@ -46,24 +56,26 @@ def hit_filter(hits: DataFrame, rules: Sequence[HitRule]) -> DataFrame:
     return hits.where(reduce(lambda a, b: a & b, map(rule_predicate, rules))) if rules else hits
 
 
-def metric_column(metric: str) -> Column:
-    """The count behind a metric's name.
+def counts_for(metric: str) -> Column:
+    """Whether a hit counts for a metric.
 
     Hits without an event category are page views, the others are tracked events; both are events of the
     current feed.
     """
-    category = F.coalesce(F.col("event_category"), F.lit(""))
     if metric == "eventCount":
-        return F.count(F.lit(1))
+        return F.lit(True)
     if metric == "pageviews":
-        return F.count_if(category == "")
+        return dimension("event_category") == ""
     if metric == "totalEvents":
-        return F.count_if(category != "")
-    if metric == "sessions":
-        return F.count_distinct("session_id")
+        return dimension("event_category") != ""
     raise ValueError(f"unknown metric: {metric}")
 
 
+def metric_column(metric: str) -> Column:
+    """The aggregate behind a metric's name."""
+    return F.count_distinct("session_id") if metric == "sessions" else F.count_if(counts_for(metric))
+
+
 def metric_counts(hits: DataFrame, dims: Sequence[str | Column], metric: str, rules: Sequence[HitRule]) -> DataFrame:
     """The metric per combination of dimensions, in no order."""
     return hit_filter(hits, rules).groupBy(*dims).agg(metric_column(metric).cast("bigint").alias(metric))

@@ -9,58 +9,54 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portalmeter import fixed_values as fixed
-from portalmeter.config import HitRule, SectionRule
+from portalmeter.config import SectionRule
 from portalmeter.functions.periods import end_day, with_period
-from portalmeter.operators.hits import CURRENT, metric_column, rule_predicate
+from portalmeter.operators.hits import CURRENT, counts_for, dimension, full_match
 
-SECTION_COLUMNS = ("section_s1", "section_s2", "section_s3")
 
+def _is_load() -> Column:
+    return F.lower(dimension("event_name")) == fixed.LOAD_EVENT
 
-def _matches(rule: SectionRule, feed: str) -> Column:
-    """Whether a hit counts for a section. Without a pattern every hit does, whatever its event."""
-    if not rule.pattern:
-        return F.lit(True)
-    match = rule_predicate(HitRule(rule.column, "full_regex", rule.pattern))
-    return F.col("is_load") & match if feed == CURRENT else match
 
-
-def _event_counts(
-    hits: DataFrame, rules: Sequence[SectionRule], month: Column, feed: str
-) -> DataFrame:
+def _event_counts(hits: DataFrame, rules: Sequence[SectionRule], month: Column, feed: str) -> DataFrame:
     """Section rules that count hits: one row per month and rule.
 
     Hits shrink to one row per combination of sections before any pattern is tried. The last step holds one
     number per rule and month, so a month or a section with very many hits costs no single task anything.
     """
-    columns = [c for c in SECTION_COLUMNS if any(r.column == c for r in rules)]
-    is_load = (F.lower(F.coalesce(F.col("event_name"), F.lit(""))) == fixed.LOAD_EVENT).alias("is_load")
+    sections = sorted({rule.column for rule in rules if rule.column})
     metrics = sorted({rule.metric for rule in rules})
-    combined = hits.groupBy(month.alias("month"), is_load, *columns).agg(
-        *[metric_column(metric).alias(metric) for metric in metrics]
+    # Without a pattern every hit counts; a section of the current feed counts pages that finished loading.
+    in_sections = _is_load() if feed == CURRENT else F.lit(True)
+    combined = hits.groupBy(month.alias("month"), *[dimension(name).alias(name) for name in sections]).agg(
+        *[F.count_if(counts_for(metric)).alias(f"all_{metric}") for metric in metrics],
+        *[F.count_if(in_sections & counts_for(metric)).alias(f"section_{metric}") for metric in metrics],
+    )
+    columns = {name: F.col(name) for name in combined.columns}
+
+    def count_of(rule: SectionRule) -> Column:
+        if not rule.pattern:
+            return columns[f"all_{rule.metric}"]
+        return F.when(columns[rule.column].rlike(full_match(rule.pattern)), columns[f"section_{rule.metric}"])
+
+    names = [f"{rule.key}/{rule.name}" for rule in rules]
+    wide = combined.groupBy("month").agg(*[F.sum(count_of(r)).alias(name) for r, name in zip(rules, names)])
+    return wide.unpivot("month", names, "rule", "sessions").select(
+        "month",
+        F.substring_index("rule", "/", 1).alias("key"),
+        F.regexp_replace("rule", "^[^/]*/", "").alias("key_value"),
+        F.coalesce("sessions", F.lit(0)).alias("sessions"),
     )
-    sums = [
-        F.sum(F.when(_matches(rule, feed), F.col(rule.metric)).otherwise(F.lit(0))).alias(f"n{i}")
-        for i, rule in enumerate(rules)
-    ]
-    wide = combined.groupBy("month").agg(*sums)
-    rows = [
-        F.struct(
-            F.lit(rule.key).alias("key"),
-            F.lit(rule.name).alias("key_value"),
-            F.col(f"n{i}").cast("bigint").alias("sessions"),
-        )
-        for i, rule in enumerate(rules)
-    ]
-    return wide.select("month", F.inline(F.array(*rows)))
 
 
 def _session_counts(hits: DataFrame, rule: SectionRule, month: Column, feed: str) -> DataFrame:
     """A rule that counts distinct sessions; months without a match give 0."""
-    is_load = F.lower(F.coalesce(F.col("event_name"), F.lit(""))) == fixed.LOAD_EVENT
-    session = F.when(_matches(rule, feed), F.col("session_id")) if rule.pattern else F.col("session_id")
+    session = F.col("session_id")
+    if rule.pattern:
+        match = dimension(rule.column).rlike(full_match(rule.pattern))
+        session = F.when(match & _is_load() if feed == CURRENT else match, session)
     return (
-        hits.withColumn("is_load", is_load)
-        .groupBy(month.alias("month"))
+        hits.groupBy(month.alias("month"))
         .agg(F.count_distinct(session).alias("sessions"))
         .select("month", F.lit(rule.key).alias("key"), F.lit(rule.name).alias("key_value"), "sessions")
     )

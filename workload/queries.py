@@ -17,7 +17,7 @@ from portalmeter.plans import admin_reports as admin
 from portalmeter.plans import monthly_load
 from portalmeter.plans import public_reports as public
 from portalmeter.plans.catalogue import REPORTS, build_report
-from portalmeter.session import shared_dir
+from portalmeter.session import ensure_checkpoint_dir, shared_dir
 from portalmeter.sinks.csv_report import csv_report_sink
 from portalmeter.sources.report_rows import NESTED, POSITIONAL, flatten_report_rows, parse_report_rows
 from portalmeter.sources.tables import ParquetTables, table_source
@@ -249,9 +249,13 @@ def resource_all_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monthly_load_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits to dataset fact rows and their all-time rows, in one go."""
+    """Hits to dataset fact rows and their all-time rows, in one go.
+
+    The new month is checkpointed, as the load itself does: it is read for the table and again for the totals.
+    """
+    ensure_checkpoint_dir(spark, tempfile.gettempdir())
     t = tables(spark, sf_dir, "hits", "package", "package_extra", "group", "packages_fact")
-    rows = monthly_load.package_rows(t["hits"], t, t["packages_fact"], CONFIG, AS_OF, hits.CURRENT)
+    rows = monthly_load.package_rows(t["hits"], t, t["packages_fact"], CONFIG, AS_OF, hits.CURRENT).checkpoint()
     fact = facts.replace_period(t["packages_fact"], rows, "2024-01")
     return facts.replace_period(fact, facts.package_all_time(fact), "All")
 
