@@ -54,11 +54,22 @@ def repair_latin1(value: Column) -> Column:
     return F.when(value.rlike(r"^[\x00-\xFF]*\z"), as_utf8)
 
 
-def spellings(url: Column) -> Column:
-    """The distinct spellings under which a file address may be stored in the catalogue."""
-    without_slash = F.when(url.endswith("/"), F.regexp_replace(url, r"/\z", ""))
-    candidates = []
-    for form in (url, without_slash):
-        decoded = decode_plus(form)
-        candidates += [form, decoded, repair_latin1(form), repair_latin1(decoded)]
-    return F.array_distinct(F.array_compact(F.array(*candidates)))
+def with_spellings(df: DataFrame, url_col: str, out_col: str) -> DataFrame:
+    """Add the distinct spellings under which a file address may be stored in the catalogue, as an array.
+
+    Tried are the address, without its final slash if it has one, each of these decoded, and each of these four
+    with its charset repaired. A spelling that does not exist falls back to the address itself and so adds
+    nothing. The steps are columns of their own so that each decoding and repair runs once per row.
+    """
+    url = F.col(url_col)
+    plain, trimmed, decoded, decoded_trimmed = (f"__{out_col}_{i}" for i in range(4))
+    repaired = {form: f"{form}_repaired" for form in (plain, trimmed, decoded, decoded_trimmed)}
+    staged = (
+        df.withColumns({plain: url, trimmed: F.when(url.endswith("/"), F.regexp_replace(url, r"/\z", ""))})
+        .withColumns({decoded: decode_plus(F.col(plain)), decoded_trimmed: decode_plus(F.col(trimmed))})
+        .withColumns({name: repair_latin1(F.col(form)) for form, name in repaired.items()})
+    )
+    forms = [plain, decoded, repaired[plain], repaired[decoded]]
+    forms += [trimmed, decoded_trimmed, repaired[trimmed], repaired[decoded_trimmed]]
+    candidates = F.array(*[F.coalesce(F.col(form), url) for form in forms])
+    return staged.withColumn(out_col, F.array_distinct(candidates)).drop(*forms)

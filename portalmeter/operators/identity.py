@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from portalmeter.config import PortalConfig
 from portalmeter.functions.periods import month_number
-from portalmeter.functions.urls import spellings
+from portalmeter.functions.urls import with_spellings
 from portalmeter.schemas import ALL_TIME
 
 PACKAGE_FIELDS = ("package_name", "organization_id", "publisher_id")
@@ -123,7 +123,7 @@ def resolve_resource(
         .agg(F.min(F.struct("position", F.col("id").alias("resource_id"), "format")).alias("file"))
     )
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
-    candidates = pages.withColumn("spelling", F.explode(spellings(F.col("url"))))
+    candidates = with_spellings(pages, "url", "spellings").withColumn("spelling", F.explode("spellings"))
     matched = candidates.join(first_files, ["package_id", "spelling"], "left")
     carried = [c for c in (*hits.columns, *PACKAGE_FIELDS) if c not in row_key]
     best = matched.groupBy(*row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])
