@@ -103,3 +103,29 @@ def test_wide_report_keeps_its_order_over_parts(spark, tmp_path):
     values = [int(r[0]) for r in read_csv(path)[1] if r[0] != "id"]
     assert values == sorted(values) and len(values) == 1000
     assert sorted_rows(spark.read.option("header", True).csv(path))
+
+
+def test_jdbc_reads_are_divided(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+
+    from portalmeter.sources.tables import JdbcTables
+
+    calls = []
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *args, **kwargs: calls.append((args, kwargs)))
+    cfg = JdbcTables(
+        "jdbc:somewhere",
+        {"user": "reader"},
+        split={"node_field_data": ("nid", 0, 1000, 4)},
+        predicates={"package": ["id < 'm'", "id >= 'm'"]},
+    )
+    for name in ("node_field_data", "package", "node"):
+        table_source(spark, name, cfg)
+    properties = {"fetchsize": "10000", "user": "reader"}
+    assert calls == [
+        (
+            ("jdbc:somewhere", "node_field_data"),
+            {"column": "nid", "lowerBound": 0, "upperBound": 1000, "numPartitions": 4, "properties": properties},
+        ),
+        (("jdbc:somewhere", "package"), {"predicates": ["id < 'm'", "id >= 'm'"], "properties": properties}),
+        (("jdbc:somewhere", "node"), {"properties": properties}),
+    ]
