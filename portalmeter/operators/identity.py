@@ -123,7 +123,8 @@ def resolve_resource(
         .agg(F.min(F.struct("position", F.col("id").alias("resource_id"), "format")).alias("file"))
     )
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
-    candidates = with_spellings(pages, "url", "spellings").withColumn("spelling", F.explode("spellings"))
+    # The outer form: the plain one would make Spark test the array's size early, at the price of building it twice.
+    candidates = with_spellings(pages, "url", "spellings").withColumn("spelling", F.explode_outer("spellings"))
     matched = candidates.join(first_files, ["package_id", "spelling"], "left")
     carried = [c for c in (*hits.columns, *PACKAGE_FIELDS) if c not in row_key]
     best = matched.groupBy(*row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])

@@ -90,12 +90,14 @@ def datasets_by_admin_level(tables: Tables, as_of: Day = None) -> DataFrame:
 def datasets_by_theme(tables: Tables, as_of: Day = None, cfg: PortalConfig = PortalConfig()) -> DataFrame:
     """Datasets per theme address. Two addresses with the same label stay two rows."""
     themes = tables["package_extra"].where(F.col("key") == "theme").select("package_id", "value")
+    # The outer form keeps Spark from parsing the JSON a second time just to test that there is something in it.
+    uris = F.explode_outer(F.from_json("value", "array<string>"))
     prefix = f"http://{cfg.portal_host}{fixed.THEME_SECTOR_PATH}"
     labels = {prefix + name: text for name, text in fixed.THEME_LABELS.items()}
     return (
         published(tables["package"])
         .join(themes, F.col("id") == F.col("package_id"))
-        .select("title", F.explode(F.from_json("value", "array<string>")).alias("uri"))
+        .select("title", uris.alias("uri"))
         .where(F.col("uri").contains(cfg.portal_host + fixed.THEME_PATH))
         .groupBy("uri")
         .agg(F.count("title").alias("value"))

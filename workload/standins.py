@@ -49,11 +49,11 @@ HIT_SPELLING = (
     "else l_suppkey % 6 end"
 )
 HIT_FILE_URL = (
-    f"case spelling when 0 then {FILE_URL} when 1 then concat({FILE_URL}, '/') "
-    f"when 2 then replace(replace({FILE_URL}, ':', '%3A'), '/', '%2F') "
-    f"when 3 then concat({FILE_URL}, '/gone') "
-    f"when 4 then replace({FILE_URL}, 'ñ', 'Ã±') "
-    f"else replace({FILE_URL}, ' ', '+') end"
+    "case spelling when 0 then file_url when 1 then concat(file_url, '/') "
+    "when 2 then replace(replace(file_url, ':', '%3A'), '/', '%2F') "
+    "when 3 then concat(file_url, '/gone') "
+    "when 4 then replace(file_url, 'ñ', 'Ã±') "
+    "else replace(file_url, ' ', '+') end"
 )
 # Page of the dataset: by name, by id, or of a dataset the catalogue does not have.
 FILE_PAGE = (
@@ -194,11 +194,12 @@ from (select m, pk, kind, org, cast(max(d) as int) end_day, cast(sum(q) as bigin
 
 VIEWS["file_hits"] = f"""
 select {_month_name('m')} year_month, end_day, {HIT_FILE_URL} url, {FILE_PAGE} package_url, total_events
-from (select m, pk, ln, spelling, cast(max(d) as int) end_day, cast(sum(q) as bigint) total_events
-      from (select {_month('l_shipdate')} m, day(l_shipdate) d, cast(l_quantity as bigint) q, l_partkey pk,
-              l_linenumber ln, {HIT_SPELLING} spelling
-            from {{lineitem}}) line
-      group by m, pk, ln, spelling) hit"""
+from (select m, pk, spelling, end_day, total_events, {FILE_URL} file_url
+      from (select m, pk, ln, spelling, cast(max(d) as int) end_day, cast(sum(q) as bigint) total_events
+            from (select {_month('l_shipdate')} m, day(l_shipdate) d, cast(l_quantity as bigint) q, l_partkey pk,
+                    l_linenumber ln, {HIT_SPELLING} spelling
+                  from {{lineitem}}) line
+            group by m, pk, ln, spelling) monthly) hit"""
 
 # --- dashboard tables ----------------------------------------------------------------------------------------
 
