@@ -53,11 +53,13 @@ def in_days(ts: Column, start: dt.date | str, end: dt.date | str) -> Column:
     return (ts >= F.lit(first).cast("timestamp_ntz")) & (ts < F.lit(after).cast("timestamp_ntz"))
 
 
-def year_month(month: Column) -> Column:
-    return F.date_format(month, "yyyy-MM")
+def year_month(day: Column) -> Column:
+    """``YYYY-MM`` of a day or timestamp, as the calendar has it whatever the session's time zone."""
+    return F.substring(F.to_date(day).cast("string"), 1, 7)
 
 
 def end_day(month: Column, as_of: dt.date | str | None) -> Column:
+    """Last day a month covers: ``as_of``'s in the running month, the last one in any other."""
     today = as_date(as_of)
     is_running = F.trunc(month, "MM") == F.lit(today.replace(day=1))
     return F.when(is_running, F.lit(today.day)).otherwise(F.dayofmonth(F.last_day(month))).cast("int")

@@ -430,16 +430,19 @@ add(
 )
 _PUBLIC = "p.type = 'dataset' and p.state = 'active' and not p.private"
 _CODE = f"ge.key = '{fixed.ORG_CODE_KEY}'"
+_BUCKETS = {**{code: label for code, label in fixed.LEVEL_LABELS.items() if code not in "GI"}, "G/I": fixed.LEVEL_LABELS["G"]}
 add(
     "datasets_by_admin_level",
     "package package_extra group group_extra",
-    f"""select '{q.AS_OF}' as date, {case_of('lvl', {**{k: v for k, v in fixed.LEVEL_LABELS.items() if k not in 'GI'}, 'G/I': fixed.LEVEL_LABELS['G']})} as administration_level,
-  cast(sum(n) as bigint) as num_datasets
-from (select count(p.title) as n, case when left(ge.value, 1) in ('G', 'I') then 'G/I' else left(ge.value, 1) end as lvl
-      from sx_package p join sx_package_extra pe on p.id = pe.package_id and pe.key = 'publisher'
-      left join sx_group g on pe.value = g.id left join sx_group_extra ge on g.id = ge.group_id and {_CODE}
-      where {_PUBLIC} group by lvl) t
-group by lvl""",
+    f"""
+, coded as (
+  select g.id, case when ge.value[1] in ('G', 'I') then 'G/I' else ge.value[1] end as bucket
+  from sx_group g, sx_group_extra ge where ge.group_id = g.id and {_CODE})
+, titled as (
+  select pe.value as publisher, p.title from sx_package p, sx_package_extra pe
+  where pe.package_id = p.id and pe.key = 'publisher' and {_PUBLIC})
+select '{q.AS_OF}' as date, {case_of('bucket', _BUCKETS)} as administration_level, count(title) as num_datasets
+from titled left join coded on coded.id = titled.publisher group by bucket""",
 )
 _THEMES = {f"http://{HOST}{fixed.THEME_SECTOR_PATH}{k}": v for k, v in fixed.THEME_LABELS.items()}
 add(
