@@ -73,19 +73,27 @@ def resolve_package(
     return _join_package(hits, "url", catalogue_identities(package, extra, group), cfg).drop("package_id")
 
 
-def _newest_identity(rows: DataFrame, by: list[str], fields: tuple[str, ...]) -> DataFrame:
-    """Per key, the fields of its newest month; among equals of one month, the smallest."""
+def _newest_identity(
+    rows: DataFrame, by: list[str], fields: tuple[str, ...], wanted: DataFrame | None
+) -> DataFrame:
+    """Per key, the fields of its newest month; among equals of one month, the smallest.
+
+    ``wanted`` holds the only keys of interest: a month asks for few of all the keys there ever were.
+    """
+    if wanted is not None:
+        rows = rows.join(wanted.select(*by).distinct(), by, "left_semi")
     candidate = F.struct((-month_number(F.col("year_month"))).alias("age"), *fields)
     newest = rows.groupBy(*by).agg(F.min(candidate).alias("newest"))
     return newest.select(*by, *[F.col(f"newest.{name}").alias(f"past_{name}") for name in fields])
 
 
 def backfill_package(
-    resolved: DataFrame, packages_fact: DataFrame, period: str | None = None
+    resolved: DataFrame, packages_fact: DataFrame, period: str | None = None, wanted: DataFrame | None = None
 ) -> DataFrame:
     """Give pages whose dataset is gone the identity earlier months stored for the same path.
 
-    ``period`` is the month being loaded: its old rows are about to be replaced and so do not count.
+    ``period`` is the month being loaded: its old rows are about to be replaced and so do not count. ``wanted``
+    may name the pages of ``resolved`` (url), where these are few against all pages ever seen.
     """
     usable = (
         (F.col("year_month") != ALL_TIME)
@@ -95,7 +103,8 @@ def backfill_package(
     )
     if period is not None:
         usable = usable & (F.col("year_month") != period)
-    past = _newest_identity(packages_fact.where(usable), ["url"], PACKAGE_FIELDS).withColumnRenamed("url", "past_url")
+    past = _newest_identity(packages_fact.where(usable), ["url"], PACKAGE_FIELDS, wanted)
+    past = past.withColumnRenamed("url", "past_url")
     unknown = F.col("package_name").isNull()
     filled = {name: F.when(unknown, F.col(f"past_{name}")).otherwise(F.col(name)) for name in PACKAGE_FIELDS}
     joined = resolved.join(past, unknown & (F.col("url") == F.col("past_url")), "left").withColumns(filled)
@@ -137,11 +146,12 @@ def resolve_resource(
 
 
 def backfill_resource(
-    resolved: DataFrame, resources_fact: DataFrame, period: str | None = None
+    resolved: DataFrame, resources_fact: DataFrame, period: str | None = None, wanted: DataFrame | None = None
 ) -> DataFrame:
     """Give files that were not found all five fields from earlier months, or none.
 
-    Nothing found now is kept for them, not even the dataset of a file that is missing from it.
+    Nothing found now is kept for them, not even the dataset of a file that is missing from it. ``period`` and
+    ``wanted`` (url and package_url) are those of ``backfill_package``.
     """
     usable = (
         (F.col("year_month") != ALL_TIME)
@@ -154,7 +164,7 @@ def backfill_resource(
     if period is not None:
         usable = usable & (F.col("year_month") != period)
     by = ["url", "package_url"]
-    past = _newest_identity(resources_fact.where(usable), by, RESOURCE_FIELDS)
+    past = _newest_identity(resources_fact.where(usable), by, RESOURCE_FIELDS, wanted)
     past = past.withColumnsRenamed({name: f"past_{name}" for name in by})
     unknown = F.col("package_name").isNull() | F.col("resource_id").isNull()
     same_key = (F.col("url") == F.col("past_url")) & (F.col("package_url") == F.col("past_package_url"))

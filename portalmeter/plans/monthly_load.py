@@ -15,6 +15,7 @@ from portalmeter.operators.identity import backfill_package, backfill_resource,
 from portalmeter.operators.visits import section_visits
 from portalmeter.plans.public_reports import Day, Tables
 from portalmeter.schemas import ALL_TIME
+from portalmeter.session import ensure_checkpoint_dir
 from portalmeter.sources.tables import portal_tables, table_source
 
 FACT_TABLES = ("packages_fact", "resources_fact", "visits_fact")
@@ -29,18 +30,21 @@ def package_rows(
     hits: DataFrame, catalogue: Tables, packages_fact: DataFrame, cfg: PortalConfig, as_of: Day, feed: str,
     period: str | None = None,
 ) -> DataFrame:
-    """Fact rows for dataset pages, one per month and path."""
-    counted = hit_counts.package_hits(hits, cfg, as_of, feed)
+    """Fact rows for dataset pages, one per month and path.
+
+    The counts are checkpointed: they say which pages to look up in earlier months, and the hits are read once.
+    """
+    counted = hit_counts.package_hits(hits, cfg, as_of, feed).checkpoint()
     resolved = resolve_package(counted, catalogue["package"], catalogue["package_extra"], catalogue["group"], cfg)
-    return backfill_package(resolved, packages_fact, period)
+    return backfill_package(resolved, packages_fact, period, counted)
 
 
 def resource_rows(
     hits: DataFrame, catalogue: Tables, resources_fact: DataFrame, cfg: PortalConfig, as_of: Day, feed: str,
     period: str | None = None,
 ) -> DataFrame:
-    """Fact rows for files, one per month, address and page."""
-    counted = hit_counts.resource_hits(hits, cfg, as_of, feed)
+    """Fact rows for files, one per month, address and page; the counts are checkpointed as for pages."""
+    counted = hit_counts.resource_hits(hits, cfg, as_of, feed).checkpoint()
     resolved = resolve_resource(
         counted,
         catalogue["package"],
@@ -49,7 +53,7 @@ def resource_rows(
         catalogue["group"],
         cfg,
     )
-    return backfill_resource(resolved, resources_fact, period)
+    return backfill_resource(resolved, resources_fact, period, counted)
 
 
 @dataclass(frozen=True)
@@ -78,6 +82,7 @@ def load_pages(
     spark: SparkSession, hits: DataFrame, catalogue: Tables, store: FactStore, cfg: PortalConfig, period: str, as_of: Day
 ) -> None:
     """Load a month of dataset views and file events, then rebuild the all-time rows."""
+    ensure_checkpoint_dir(spark, store.checkpoint_fallback)
     month_hits, month = _of_month(hits, period, as_of)
     feed = feed_of(month, cfg)
     packages = package_rows(month_hits, catalogue, store.read(spark, "packages_fact"), cfg, as_of, feed, month)
