@@ -6,7 +6,7 @@ match is extended both ways to all windows that it anchors, and every window tha
 repeat. Runs of such windows are the maximal repeats of the threshold's length or more.
 
 Of equal anchors or windows within a task only one goes through a shuffle, so a passage of any number of copies is
-at most one row a task. Windows are told apart by 128 bits.
+at most one row a task. Windows are told apart by 96 bits.
 """
 
 from __future__ import annotations
@@ -150,12 +150,6 @@ def _shared_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _batch(["doc", "place"], doc[out], place[out])
 
 
-def _runs(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of the runs in sorted distinct places."""
-    new = np.flatnonzero(np.append(True, np.diff(place) != 1))
-    return place[new], np.diff(np.append(new, len(place)))
-
-
 def _run_rows(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.lexsort((place, doc))
     doc, place = doc[order], place[order]
@@ -177,10 +171,10 @@ def _window_rows(threshold: int):
         return _batch(
             _WINDOWS,
             np.concatenate([key[first].view(np.int64), _passed(seen)]),
-            np.concatenate([more[first].view(np.int64), np.zeros(len(seen), np.int64)]),
+            np.concatenate([more[first], np.zeros(len(seen), np.int32)]),
             np.concatenate([doc[first], seen]),
             np.concatenate([place[first], start]),
-            np.concatenate([np.zeros(first.sum(), np.int64), length]),
+            np.concatenate([np.zeros(first.sum(), np.int64), length]).astype(np.int32),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +188,7 @@ def _window_rows(threshold: int):
                 at = anchors(words, threshold)
                 near = np.flatnonzero(np.isin(at, mine))
                 if len(near):
-                    held.append((window_hashes(words, threshold, 1)[near], window_hashes(words, threshold, 2)[near], np.full(len(near), doc), near + offset))
+                    held.append((window_hashes(words, threshold, 1)[near], (window_hashes(words, threshold, 2)[near] >> np.uint64(32)).astype(np.uint32).view(np.int32), np.full(len(near), doc), near + offset))
                     rows += len(near)
                 if rows >= HELD:
                     yield send(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -207,43 +201,26 @@ def _window_rows(threshold: int):
 
 def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of windows that start earlier elsewhere."""
-    held: list[tuple] = []
-    rows = 0
-
-    def send() -> pa.RecordBatch:
-        doc, place, length = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((place, doc))
-        doc, place, length = doc[order], place[order], length[order]
-        new = np.flatnonzero(np.append(True, np.diff(doc) != 0))
-        cut = np.append(new, len(doc)).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (place, length)]
-        return pa.RecordBatch.from_arrays([pa.array(doc[new]), *lists], names=["doc", "starts", "lengths"])
-
     for key, more, doc, place, length in _whole_groups(batches, 2):
         run = length > 0
         again = ~run
-        again[again] = ~_groups(key[again], more[again]) if again.any() else again[again]
-        found = [(doc[run], place[run], length[run])] if run.any() else []
         if again.any():
-            found.append(_run_rows(doc[again], place[again]))
-        held += found
-        rows += sum(len(x[0]) for x in found)
-        if rows >= HELD:
-            yield send()
-            held, rows = [], 0
-    if held:
-        yield send()
+            again[again] = ~_groups(key[again], more[again])
+        if run.any():
+            yield _batch(["doc", "start", "length"], doc[run], place[run], length[run])
+        if again.any():
+            yield _batch(["doc", "start", "length"], *_run_rows(doc[again], place[again]))
 
 
 def repeated_windows(plain: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc, starts, lengths): runs of windows that also start earlier; several rows for a document."""
+    """(doc, start, length): runs of windows that also start earlier."""
     seeds = plain.select("doc", "part", "text").mapInArrow(_seed_rows(threshold), "seed long, doc long, place long, state byte")
     shared = seeds.repartition("seed").sortWithinPartitions("seed").mapInArrow(_shared_seeds, "doc long, place long")
     places = shared.groupBy("doc").agg(F.collect_list("place").alias("shared"))
     around = plain.join(places.hint("shuffle_hash"), "doc").select("doc", "part", "text", "shared")
-    windows = around.mapInArrow(_window_rows(threshold), "key long, more long, doc long, place long, length long")
+    windows = around.mapInArrow(_window_rows(threshold), "key long, more int, doc long, place long, length int")
     ordered = windows.repartition("key").sortWithinPartitions("key", "more", "doc", "place")
-    return ordered.mapInArrow(_later_windows, "doc long, starts array<long>, lengths array<long>")
+    return ordered.mapInArrow(_later_windows, "doc long, start long, length long")
 
 
 def _removal(threshold: int, keep_gaps: bool):
@@ -283,7 +260,7 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, keep_gaps: bool
     loses nothing stays as it is. Null texts have no words. Other columns are ignored.
     """
     plain = numbered(docs).where("doc is not null")
-    found = repeated_windows(plain, threshold).groupBy("doc").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("lengths")).alias("lengths"))
+    found = repeated_windows(plain, threshold).groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
     joined = plain.join(found.hint("shuffle_hash"), "doc", "left").select("doc", "part", "text", "starts", "lengths")
     kept = joined.mapInArrow(_removal(threshold, keep_gaps), "doc long, n_words long, n_removed long, kept_text string")
     return kept.select(F.nullif("doc", F.lit(2**63 - 1)).alias("doc_id"), "n_words", "n_removed", "kept_text")
