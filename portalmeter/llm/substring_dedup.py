@@ -207,7 +207,7 @@ def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if again.any():
             again[again] = ~_groups(key[again], more[again])
         if run.any():
-            yield _batch(["doc", "start", "length"], doc[run], place[run], length[run])
+            yield _batch(["doc", "start", "length"], doc[run], place[run], length[run].astype(np.int64))
         if again.any():
             yield _batch(["doc", "start", "length"], *_run_rows(doc[again], place[again]))
 
