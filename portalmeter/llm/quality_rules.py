@@ -141,16 +141,17 @@ def held_out(doc_id: Column, parts: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == 0, F.lit(False))
 
 
-def learn_quality(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleModel:
+def learn_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleModel:
     """Learns from labelled rows (doc_id, quality) outside the held-out part, ``sample_rows`` of them at most.
 
-    Labels that are null or neither 0 nor 1, and those without a text, are not used; several labels of a document
-    each count.
+    Labels that are null or neither 0 nor 1, and those without a document, are not used; several labels of a
+    document each count. The sample is sent to every task, as its size is bounded.
     """
     usable = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows)
-    rows = stats.select(F.col("doc_id").cast("long").alias("doc_id"), *STATISTICS).join(sample, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *STATISTICS).limit(sample_rows)
-    table = rows.select("quality", *STATISTICS).toPandas()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    stats = with_statistics(rows).orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *STATISTICS).limit(sample_rows)
+    table = stats.select("quality", *STATISTICS).toPandas()
     return fit_rules(table[list(STATISTICS)].to_numpy(float), table["quality"].to_numpy(float))
 
 

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from portalmeter.llm.containment import contained_items
 from portalmeter.llm.dart_minhash import near_duplicate_classes
 from portalmeter.llm.quality_rules import learn_quality, score_quality, with_statistics
+from portalmeter.llm.source_mix import mix_sources, taken_words
 from portalmeter.llm.substring_dedup import digest, remove_repeats
 from portalmeter.llm.words import Scratch
 
@@ -30,6 +33,17 @@ def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "is_kept")
 
 
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(mix_sources(table(spark, sf_dir, "documents"), Scratch(spark)))
+
+
+@query
+def op4_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contained_items(docs, items, Scratch(spark))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -38,5 +52,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = Scratch(spark).save(with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text")), "statistics")
-    return score_quality(stats, learn_quality(stats, table(spark, sf_dir, "labels")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(with_statistics(docs), learn_quality(docs, table(spark, sf_dir, "labels")))
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run

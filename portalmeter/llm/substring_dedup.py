@@ -11,6 +11,7 @@ at most one row a task. Windows are told apart by 96 bits.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -229,7 +230,7 @@ def _removal(threshold: int, keep_gaps: bool):
             starts, lengths = (pa.array(batch.column(i)).to_pylist() for i in (3, 4))
             for at in range(0, batch.num_rows, 200):
                 piece = batch.slice(at, 200)
-                counts, gone, kept = [], [], []
+                counts, gone, kept, marks = [], [], [], []
                 for i, (part, text) in enumerate(zip(piece.column(1).to_numpy(), text_bytes(piece.column(2)), strict=True)):
                     words = text.split()
                     covered = np.zeros(len(words) + 1, np.int64)
@@ -239,6 +240,7 @@ def _removal(threshold: int, keep_gaps: bool):
                             covered[begin] += 1
                             covered[begin + length + threshold - 1] -= 1
                     out = np.cumsum(covered[:-1]) > 0
+                    marks.append(hashlib.md5(text).hexdigest())
                     counts.append(len(words))
                     gone.append(int(out.sum()))
                     if not gone[-1]:
@@ -246,14 +248,17 @@ def _removal(threshold: int, keep_gaps: bool):
                     else:
                         kept.append(b" ".join(w for w, o in zip(words, out, strict=True) if not o).decode())
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["doc", "n_words", "n_removed", "kept_text"]
+                    [piece.column(0), pa.array(marks), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                    names=["doc", "mark", "n_words", "n_removed", "kept_text"],
                 )
 
     return run
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, keep_gaps: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text) for each row of docs (doc_id, text, ...), repeated rows once.
+    """(doc_id, mark, n_words, n_removed, kept_text) for each row of docs (doc_id, text, ...), repeated rows once.
+
+    ``mark`` is the MD5 of the text as it was.
 
     A word goes if a window of ``threshold`` words over it, within its document, also starts earlier: in a document
     of smaller doc_id, or before in the same one. Kept words are joined by one space; with ``keep_gaps`` a text that
@@ -262,8 +267,8 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, keep_gaps: bool
     plain = numbered(docs).where("doc is not null")
     found = repeated_windows(plain, threshold).groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
     joined = plain.join(found.hint("shuffle_hash"), "doc", "left").select("doc", "part", "text", "starts", "lengths")
-    kept = joined.mapInArrow(_removal(threshold, keep_gaps), "doc long, n_words long, n_removed long, kept_text string")
-    return kept.select(F.nullif("doc", F.lit(2**63 - 1)).alias("doc_id"), "n_words", "n_removed", "kept_text")
+    kept = joined.mapInArrow(_removal(threshold, keep_gaps), "doc long, mark string, n_words long, n_removed long, kept_text string")
+    return kept.select(F.nullif("doc", F.lit(2**63 - 1)).alias("doc_id"), "mark", "n_words", "n_removed", "kept_text")
 
 
 def digest(kept_text: Column) -> Column:
