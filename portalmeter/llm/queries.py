@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from portalmeter.llm.ball_tree import top_inner_products
 from portalmeter.llm.containment import contained_items
 from portalmeter.llm.dart_minhash import near_duplicate_classes
+from portalmeter.llm.dom_marginals import extract_main_text
+from portalmeter.llm.edit_counts import count_tokens, derived_edits
+from portalmeter.llm.gated_lm import lm_scores
 from portalmeter.llm.quality_rules import learn_quality, score_quality, with_statistics
 from portalmeter.llm.source_mix import mix_sources, taken_words
 from portalmeter.llm.substring_dedup import digest, remove_repeats
+from portalmeter.llm.url_templates import judge_urls
 from portalmeter.llm.words import Scratch
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +38,11 @@ def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "is_kept")
 
 
+@query
+def op2_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(mix_sources(table(spark, sf_dir, "documents"), Scratch(spark)))
@@ -44,12 +54,34 @@ def op4_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(docs, items, Scratch(spark))
 
 
+@query
+def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    edited = docs.withColumn("edits", derived_edits(F.coalesce("text", F.lit("")), F.col("doc_id")))
+    return count_tokens(edited).drop("leaf_tokens")
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", digest(F.col("kept_text")).alias("kept_sha256"))
 
 
+@query
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), Scratch(spark))
+
+
+@query
+def op8_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), Scratch(spark))
+
+
+@query
+def op9_dom_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
