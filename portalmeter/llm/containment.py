@@ -81,5 +81,6 @@ def contained_items(docs: DataFrame, items: DataFrame, scratch: Scratch, thresho
         shared = F.when(is_n, F.size(F.array_intersect(_texts(F.col("w"), n), _texts(F.col("iw"), n)))).otherwise(shared)
         size = F.when(is_n, F.size(_texts(F.col("iw"), n))).otherwise(size)
     counted = both.select("doc_id", "item_id", shared.alias("n_shared"), size.alias("n_item")).withColumn("containment", F.col("n_shared") / F.col("n_item"))
-    best = counted.where(F.col("containment") >= threshold - 1e-9).groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_item")).alias("b"))
-    return best.select("doc_id", "item_id", "b.n_shared", "b.n_item", "b.containment")
+    # Only what comes out of the aggregation is compared: a filter below it would repeat the whole expression.
+    best = counted.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_shared", "n_item")).alias("b"))
+    return best.where(F.col("b.containment") >= threshold - 1e-9).select("doc_id", "item_id", "b.n_shared", "b.n_item", "b.containment")
