@@ -5,10 +5,10 @@ from __future__ import annotations
 LLM_ORACLE_SQL: dict[str, str] = {
     "op8_ball_tree": """
         WITH good AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
             FROM good q JOIN good c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
