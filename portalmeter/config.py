@@ -12,7 +12,8 @@ from portalmeter import fixed_values as fixed
 class HitRule:
     """One test on one dimension of a hit.
 
-    ``match`` is ``exact``, ``full_regex`` (the whole value) or ``regex`` (anywhere in it); case never counts.
+    ``match`` is ``exact``, ``begins_with``, ``ends_with``, ``contains``, ``full_regex`` (the whole value) or ``regex``
+    (anywhere in it); case never counts.
     """
 
     column: str

@@ -16,9 +16,17 @@ from portalmeter.session import ensure_checkpoint_dir
 def replace_period(fact: DataFrame, new_rows: DataFrame, period: str) -> DataFrame:
     """The fact table with a month's rows replaced, also by none. ``All`` stands for the all-time rows.
 
-    Removing everything is ``delete_period``.
+    New rows of another month raise. Removing everything is ``delete_period``.
     """
-    return fact.where(F.col("year_month") != period).unionByName(new_rows.select(*fact.columns))
+    rows = only_of_period(new_rows, period).select(*fact.columns)
+    return fact.where(F.col("year_month") != period).unionByName(rows)
+
+
+def only_of_period(rows: DataFrame, period: str) -> DataFrame:
+    """The rows as they are; one of another month, or of none, raises when it is read."""
+    found = F.coalesce(F.col("year_month"), F.lit("null"))
+    wrong = F.raise_error(F.concat(F.lit(f"a row of {period} was expected, not of "), found))
+    return rows.withColumn("year_month", F.when(F.col("year_month") == period, F.col("year_month")).otherwise(wrong))
 
 
 def write_period(
@@ -27,10 +35,10 @@ def write_period(
     """Replace one month of a stored fact table, partitioned by ``year_month``; other months stay untouched.
 
     The rows are checkpointed first: the table they were computed from is the one being changed, and an empty
-    result must be known as such, because a dynamic overwrite by nothing removes nothing.
+    result must be known as such, because a dynamic overwrite by nothing removes nothing. Rows of another month raise.
     """
     ensure_checkpoint_dir(spark, checkpoint_fallback)
-    rows = new_rows.where(F.col("year_month") == period).checkpoint()
+    rows = only_of_period(new_rows, period).checkpoint()
     if rows.isEmpty():
         clear_period(rows, root, period)
         return

@@ -46,6 +46,12 @@ def rule_predicate(rule: HitRule) -> Column:
         test = value.rlike(full_match(rule.value))
     elif rule.match == "regex":
         test = value.rlike(f"(?iu){rule.value}")
+    elif rule.match == "begins_with":
+        test = F.lower(value).startswith(rule.value.lower())
+    elif rule.match == "ends_with":
+        test = F.lower(value).endswith(rule.value.lower())
+    elif rule.match == "contains":
+        test = F.lower(value).contains(rule.value.lower())
     else:
         raise ValueError(f"unknown match: {rule.match}")
     return ~test if rule.negate else test

@@ -74,26 +74,26 @@ def resolve_package(
 
 
 def _newest_identity(
-    rows: DataFrame, by: list[str], fields: tuple[str, ...], wanted: DataFrame | None
+    rows: DataFrame, by: list[str], fields: tuple[str, ...], wanted: DataFrame
 ) -> DataFrame:
     """Per key, the fields of its newest month; among equals of one month, the smallest.
 
-    ``wanted`` holds the only keys of interest: a month asks for few of all the keys there ever were.
+    ``wanted`` holds the only keys of interest: few of all the keys there ever were.
     """
-    if wanted is not None:
-        rows = rows.join(wanted.select(*by).distinct(), by, "left_semi")
+    rows = rows.join(wanted.select(*by).distinct(), by, "left_semi")
     candidate = F.struct((-month_number(F.col("year_month"))).alias("age"), *fields)
     newest = rows.groupBy(*by).agg(F.min(candidate).alias("newest"))
     return newest.select(*by, *[F.col(f"newest.{name}").alias(f"past_{name}") for name in fields])
 
 
 def backfill_package(
-    resolved: DataFrame, packages_fact: DataFrame, period: str | None = None, wanted: DataFrame | None = None
+    resolved: DataFrame, packages_fact: DataFrame, period: str | None = None
 ) -> DataFrame:
     """Give pages whose dataset is gone the identity earlier months stored for the same path.
 
-    ``period`` is the month being loaded: its old rows are about to be replaced and so do not count. ``wanted``
-    may name the pages of ``resolved`` (url), where these are few against all pages ever seen.
+    ``period`` is the month being loaded: its old rows are about to be replaced and so do not count. Only pages
+    without a dataset are looked up; the others go by untouched. ``resolved`` is read for both, so it should be a
+    stored or checkpointed table.
     """
     usable = (
         (F.col("year_month") != ALL_TIME)
@@ -103,12 +103,12 @@ def backfill_package(
     )
     if period is not None:
         usable = usable & (F.col("year_month") != period)
-    past = _newest_identity(packages_fact.where(usable), ["url"], PACKAGE_FIELDS, wanted)
-    past = past.withColumnRenamed("url", "past_url")
     unknown = F.col("package_name").isNull()
-    filled = {name: F.when(unknown, F.col(f"past_{name}")).otherwise(F.col(name)) for name in PACKAGE_FIELDS}
-    joined = resolved.join(past, unknown & (F.col("url") == F.col("past_url")), "left").withColumns(filled)
-    return joined.withColumn("package_name", F.coalesce("package_name", F.lit(""))).select(*resolved.columns)
+    lost = resolved.where(unknown)
+    past = _newest_identity(packages_fact.where(usable), ["url"], PACKAGE_FIELDS, lost)
+    filled = {name: F.col(f"past_{name}") for name in PACKAGE_FIELDS}
+    found = lost.join(past, "url", "left").withColumns(filled).withColumn("package_name", F.coalesce("package_name", F.lit("")))
+    return resolved.where(~unknown).union(found.select(*resolved.columns))
 
 
 def resolve_resource(
@@ -121,23 +121,23 @@ def resolve_resource(
 ) -> DataFrame:
     """Add the file's id and format, and its dataset, organisation and publisher.
 
-    A file is the first of its dataset, by position, stored under any spelling of the address. ``hits`` has one
-    row per month, address and page, as ``resource_hits`` gives it. Per dataset and address only the first file
-    can win, so the catalogue shrinks to that before the join and each spelling meets at most one row.
+    A file is the first of its dataset, by position, stored under any spelling of the address. Per dataset and
+    address only the first file can win, so the catalogue shrinks to that before the join and each spelling meets
+    at most one row. A match does not depend on the month or the page: distinct pairs of dataset and address are
+    spelled out and matched, rows without a dataset never.
     """
-    row_key = ("url", "package_url", "year_month")
     first_files = (
         resource.where(F.coalesce("state", F.lit("")) != "deleted")
         .groupBy("package_id", F.col("url").alias("spelling"))
         .agg(F.min(F.struct("position", F.col("id").alias("resource_id"), "format")).alias("file"))
     )
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
+    pairs = pages.where(F.col("package_id").isNotNull()).select("package_id", "url").distinct()
     # The outer form: the plain one would make Spark test the array's size early, at the price of building it twice.
-    candidates = with_spellings(pages, "url", "spellings").withColumn("spelling", F.explode_outer("spellings"))
-    matched = candidates.join(first_files, ["package_id", "spelling"], "left")
-    carried = [c for c in (*hits.columns, *PACKAGE_FIELDS) if c not in row_key]
-    best = matched.groupBy(*row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])
-    return best.select(
+    candidates = with_spellings(pairs, "url", "spellings").withColumn("spelling", F.explode_outer("spellings"))
+    matched = candidates.join(first_files, ["package_id", "spelling"])
+    best = matched.groupBy("package_id", "url").agg(F.min("file").alias("file"))
+    return pages.join(best, ["package_id", "url"], "left").select(
         *hits.columns,
         F.col("file.resource_id").alias("resource_id"),
         *PACKAGE_FIELDS,
@@ -146,12 +146,12 @@ def resolve_resource(
 
 
 def backfill_resource(
-    resolved: DataFrame, resources_fact: DataFrame, period: str | None = None, wanted: DataFrame | None = None
+    resolved: DataFrame, resources_fact: DataFrame, period: str | None = None
 ) -> DataFrame:
     """Give files that were not found all five fields from earlier months, or none.
 
     Nothing found now is kept for them, not even the dataset of a file that is missing from it. ``period`` and
-    ``wanted`` (url and package_url) are those of ``backfill_package``.
+    ``resolved`` are as for ``backfill_package``.
     """
     usable = (
         (F.col("year_month") != ALL_TIME)
@@ -164,14 +164,9 @@ def backfill_resource(
     if period is not None:
         usable = usable & (F.col("year_month") != period)
     by = ["url", "package_url"]
-    past = _newest_identity(resources_fact.where(usable), by, RESOURCE_FIELDS, wanted)
-    past = past.withColumnsRenamed({name: f"past_{name}" for name in by})
     unknown = F.col("package_name").isNull() | F.col("resource_id").isNull()
-    same_key = (F.col("url") == F.col("past_url")) & (F.col("package_url") == F.col("past_package_url"))
-    # Rows that were found keep their own fields; the flag is taken before any field changes.
-    joined = resolved.withColumn("unknown", unknown).join(past, F.col("unknown") & same_key, "left")
-    filled = {
-        name: F.when(F.col("unknown"), F.col(f"past_{name}")).otherwise(F.col(name)) for name in RESOURCE_FIELDS
-    }
-    joined = joined.withColumns(filled)
-    return joined.withColumn("resource_id", F.coalesce("resource_id", F.lit(""))).select(*resolved.columns)
+    lost = resolved.where(unknown)
+    past = _newest_identity(resources_fact.where(usable), by, RESOURCE_FIELDS, lost)
+    filled = {name: F.col(f"past_{name}") for name in RESOURCE_FIELDS}
+    found = lost.join(past, by, "left").withColumns(filled).withColumn("resource_id", F.coalesce("resource_id", F.lit("")))
+    return resolved.where(~unknown).union(found.select(*resolved.columns))

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portalmeter import fixed_values as fixed
-from portalmeter.config import SectionRule
+from portalmeter.config import HitRule, SectionRule
 from portalmeter.functions.periods import end_day, with_period
-from portalmeter.operators.hits import CURRENT, counts_for, dimension, full_match
+from portalmeter.operators.hits import CURRENT, counts_for, dimension, full_match, hit_filter
 
 
 def _is_load() -> Column:
@@ -69,11 +69,15 @@ def section_visits(
     feed: str = CURRENT,
     ts_col: str = "ts",
     history: DataFrame | None = None,
+    extra_rule: HitRule | None = None,
 ) -> DataFrame:
     """Visits per month and section rule, with 0 where a section had none.
 
+    Only hits that pass ``extra_rule`` count, also in the site total.
+
     ``history`` holds visits of earlier months in the same layout; a live row takes precedence over it.
     """
+    hits = hit_filter(hits, [extra_rule] if extra_rule else [])
     month = F.trunc(F.col(ts_col), "MM")
     counted = [rule for rule in rules if rule.metric != "sessions"]
     parts = [_session_counts(hits, rule, month, feed) for rule in rules if rule.metric == "sessions"]
@@ -87,9 +91,13 @@ def section_visits(
 
 
 def with_history(live: DataFrame, history: DataFrame) -> DataFrame:
-    """Add the rows of ``history`` whose month and section ``live`` does not have."""
-    past = history.join(live, ["year_month", "key", "key_value"], "left_anti")
-    return live.unionByName(past.select(*live.columns))
+    """Add the rows of ``history`` whose month and section ``live`` does not have.
+
+    One aggregation picks the live row of each key, so what ``live`` is computed from is read once.
+    """
+    both = live.withColumn("past", F.lit(0)).unionByName(history.select(*live.columns).withColumn("past", F.lit(1)))
+    first = both.groupBy("year_month", "key", "key_value").agg(F.min(F.struct("past", "end_day", "sessions")).alias("row"))
+    return first.select("year_month", "row.end_day", "row.sessions", "key", "key_value")
 
 
 def historic_visits(spark: SparkSession) -> DataFrame:

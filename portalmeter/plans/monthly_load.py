@@ -15,7 +15,7 @@ from portalmeter.operators.identity import backfill_package, backfill_resource,
 from portalmeter.operators.visits import section_visits
 from portalmeter.plans.public_reports import Day, Tables
 from portalmeter.schemas import ALL_TIME
-from portalmeter.session import ensure_checkpoint_dir
+from portalmeter.session import ensure_checkpoint_dir, folder_exists
 from portalmeter.sources.tables import portal_tables, table_source
 
 FACT_TABLES = ("packages_fact", "resources_fact", "visits_fact")
@@ -32,19 +32,19 @@ def package_rows(
 ) -> DataFrame:
     """Fact rows for dataset pages, one per month and path.
 
-    The counts are checkpointed: they say which pages to look up in earlier months, and the hits are read once.
+    The resolved rows are checkpointed: they say which pages to look up in earlier months, and the hits are read once.
     """
-    counted = hit_counts.package_hits(hits, cfg, as_of, feed).checkpoint()
+    counted = hit_counts.package_hits(hits, cfg, as_of, feed)
     resolved = resolve_package(counted, catalogue["package"], catalogue["package_extra"], catalogue["group"], cfg)
-    return backfill_package(resolved, packages_fact, period, counted)
+    return backfill_package(resolved.checkpoint(), packages_fact, period)
 
 
 def resource_rows(
     hits: DataFrame, catalogue: Tables, resources_fact: DataFrame, cfg: PortalConfig, as_of: Day, feed: str,
     period: str | None = None,
 ) -> DataFrame:
-    """Fact rows for files, one per month, address and page; the counts are checkpointed as for pages."""
-    counted = hit_counts.resource_hits(hits, cfg, as_of, feed).checkpoint()
+    """Fact rows for files, one per month, address and page; the resolved rows are checkpointed as for pages."""
+    counted = hit_counts.resource_hits(hits, cfg, as_of, feed)
     resolved = resolve_resource(
         counted,
         catalogue["package"],
@@ -53,7 +53,7 @@ def resource_rows(
         catalogue["group"],
         cfg,
     )
-    return backfill_resource(resolved, resources_fact, period, counted)
+    return backfill_resource(resolved.checkpoint(), resources_fact, period)
 
 
 @dataclass(frozen=True)
@@ -106,12 +106,16 @@ def load_visits(
         [(month, chosen.end_day, 0, rule.key, rule.name) for rule in rules],
         "year_month string, end_day int, sessions bigint, key string, key_value string",
     )
-    visits = section_visits(month_hits, rules, as_of, feed, history=zeros)
+    visits = section_visits(month_hits, rules, as_of, feed, history=zeros, extra_rule=cfg.extra_rule)
     store.replace(spark, visits, "visits_fact", month)
 
 
 def init_store(spark: SparkSession, store: FactStore, history: DataFrame | None = None) -> None:
-    """Create empty fact tables; ``history`` holds visits of the months before the first load."""
-    delete_period(spark, {name: store.path(name) for name in FACT_TABLES}, ALL_TIME)
-    if history is not None:
+    """Create the fact tables that do not exist yet; those that do stay as they are.
+
+    ``history`` holds visits of the months before the first load; it goes only into a new visits table.
+    """
+    missing = [name for name in FACT_TABLES if not folder_exists(spark, store.path(name))]
+    delete_period(spark, {name: store.path(name) for name in missing}, ALL_TIME)
+    if history is not None and "visits_fact" in missing:
         history.write.mode("append").partitionBy("year_month").parquet(store.path("visits_fact"))

@@ -30,7 +30,7 @@ PACKAGE = "id string, name string, title string, type string, state string, priv
 PACKAGE_EXTRA = "package_id string, key string, value string, state string"
 GROUP = "id string, title string, type string, state string"
 GROUP_EXTRA = "group_id string, key string, value string, state string"
-RESOURCE = "id string, package_id string, url string, format string, state string, position int"
+RESOURCE = "id string, package_id string, url string, format string, state string, position bigint"
 
 PUBLISHED_DATASETS = "year_month string, key string, key_value string, num_datasets bigint"
 CONTENT_COUNTS = "year_month string, key string, content_type string, num_contents bigint"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 RUNTIME_SETTINGS = {
@@ -21,13 +23,24 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder every executor can reach: the cluster's ``spark.checkpoint.dir``, else ``fallback``."""
-    directory = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    """The folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
+
+    ``fallback`` takes its place only where all tasks run in this process; on a cluster it would be a folder of one
+    machine.
+    """
+    directory = spark.conf.get("spark.checkpoint.dir", None)
+    if not directory and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        directory = fallback
     if not directory:
-        raise ValueError("spark.checkpoint.dir is not set and no fallback folder was given")
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     return directory
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark, fallback))
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)

@@ -14,9 +14,13 @@ POSITIONAL = "positional"
 
 
 def parse_report_rows(lines: DataFrame, layout: str, text_col: str = "value") -> DataFrame:
-    """One JSON report row per line of text, parsed to the layout's columns."""
+    """One JSON report row per line of text, parsed to the layout's columns.
+
+    Blank lines are skipped; a line that cannot be read raises, so that no total is silently too small.
+    """
     schema = schemas.NESTED_REPORT_ROW if layout == NESTED else schemas.POSITIONAL_REPORT_ROW
-    row = F.from_json(F.col(text_col), schema)
+    row = F.from_json(F.col(text_col), schema, {"mode": "FAILFAST"})
+    lines = lines.where(F.trim(F.regexp_replace(text_col, "\\s", "")) != "")
     if layout == NESTED:
         return lines.select(row.alias("row")).select("row.*")
     return lines.select(row.alias("row"))

@@ -23,14 +23,15 @@ class ParquetTables:
 class JdbcTables:
     """A database; ``split`` names, per table, the numeric column and bounds its read is divided by.
 
-    ``predicates`` divides a table by conditions instead, for tables with text keys. A table in neither is read
-    in one task, which is right only for small ones.
+    ``predicates`` divides a table by conditions instead, for tables with text keys. Tables named in ``small`` are
+    read in one task; a table in none of the three is refused.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     split: Mapping[str, tuple[str, int, int, int]] = field(default_factory=dict)
     predicates: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    small: Sequence[str] = ()
     fetch_size: int = 10_000
 
 
@@ -46,6 +47,8 @@ def table_source(spark: SparkSession, name: str, cfg: ParquetTables | JdbcTables
         return spark.read.jdbc(
             cfg.url, name, column=column, lowerBound=lower, upperBound=upper, numPartitions=parts, properties=properties
         )
+    if name not in cfg.small:
+        raise ValueError(f"{name}: give a split or predicates, or name it as small to read it in one task")
     return spark.read.jdbc(cfg.url, name, properties=properties)
 
 

@@ -143,3 +143,11 @@ def test_delete_period(spark, store):
     assert stored(spark, store) == [visit("2023-02", 2), visit(ALL_TIME, 3)]
     facts.delete_period(spark, roots, ALL_TIME)
     assert stored(spark, store) == []
+
+
+def test_rows_of_another_month_raise(spark, table, store):
+    rows = table("visits_fact", [("2024-01", 31, 5, "all", ""), ("2024-02", 29, 6, "all", "")])
+    with pytest.raises(Exception, match="a row of 2024-01 was expected"):
+        facts.replace_period(rows.limit(0), rows, "2024-01").collect()
+    with pytest.raises(Exception, match="a row of 2024-01 was expected"):
+        store.replace(spark, rows, "visits_fact", "2024-01")

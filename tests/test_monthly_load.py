@@ -3,7 +3,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from conftest import sorted_rows
-from portalmeter.config import PortalConfig
+from portalmeter.config import HitRule, PortalConfig
 from portalmeter.operators.visits import historic_visits
 from portalmeter.plans.monthly_load import FactStore, feed_of, init_store, load_pages, load_visits
 from test_hits import RULES, hit
@@ -104,3 +104,22 @@ def test_visits_with_history_and_an_empty_month(spark, table, tmp_path):
 def test_feed_of_month():
     assert feed_of("2023-06", CFG) == "legacy"
     assert feed_of("2023-07", CFG) == "current"
+
+
+def test_init_store_leaves_what_exists(spark, table, tmp_path):
+    store = FactStore(str(tmp_path))
+    init_store(spark, store, historic_visits(spark))
+    store.replace(spark, table("visits_fact", [("2024-01", 31, 5, "all", "")]), "visits_fact", "2024-01")
+    init_store(spark, store, historic_visits(spark))
+    visits = store.read(spark, "visits_fact")
+    assert visits.where("year_month = '2024-01'").count() == 1
+    assert visits.where("year_month < '2018'").count() == 64
+
+
+def test_extra_rule_applies_to_visits(spark, table, tmp_path):
+    store = FactStore(str(tmp_path))
+    init_store(spark, store)
+    hits = table("hits", [hit(1, "/catalogo/fuel", session="a"), hit(2, "/es/rain", session="b")])
+    cfg = replace(CFG, extra_rule=HitRule("page_path", "begins_with", "/ES/", negate=True))
+    load_visits(spark, hits, store, cfg, "2024-01", "2024-03-05")
+    assert [r[0] for r in store.read(spark, "visits_fact").where("key = 'all'").select("sessions").collect()] == [1]

@@ -117,6 +117,7 @@ def test_jdbc_reads_are_divided(spark, monkeypatch):
         {"user": "reader"},
         split={"node_field_data": ("nid", 0, 1000, 4)},
         predicates={"package": ["id < 'm'", "id >= 'm'"]},
+        small=["node"],
     )
     for name in ("node_field_data", "package", "node"):
         table_source(spark, name, cfg)
@@ -129,3 +130,5 @@ def test_jdbc_reads_are_divided(spark, monkeypatch):
         (("jdbc:somewhere", "package"), {"predicates": ["id < 'm'", "id >= 'm'"], "properties": properties}),
         (("jdbc:somewhere", "node"), {"properties": properties}),
     ]
+    with pytest.raises(ValueError, match="resource"):
+        table_source(spark, "resource", cfg)

@@ -40,6 +40,12 @@ def query(build: Query) -> Query:
     return build
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """Rows that are read more than once, written to the shared folder first."""
+    ensure_checkpoint_dir(rows.sparkSession, tempfile.gettempdir())
+    return rows.checkpoint()
+
+
 # --- sources and sinks ---------------------------------------------------------------------------------------
 
 
@@ -201,7 +207,7 @@ def resolve_package(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_package(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity.backfill_package(_resolved_packages(spark, sf_dir), view(spark, sf_dir, "packages_fact"))
+    return identity.backfill_package(_stored(_resolved_packages(spark, sf_dir)), view(spark, sf_dir, "packages_fact"))
 
 
 @query
@@ -211,7 +217,7 @@ def resolve_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity.backfill_resource(_resolved_resources(spark, sf_dir), view(spark, sf_dir, "resources_fact"))
+    return identity.backfill_resource(_stored(_resolved_resources(spark, sf_dir)), view(spark, sf_dir, "resources_fact"))
 
 
 # --- fact tables ---------------------------------------------------------------------------------------------
@@ -222,7 +228,7 @@ def _replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_hits = view(spark, sf_dir, "page_hits").where(F.col("year_month") == REPLACED_MONTH)
     t = tables(spark, sf_dir, "package", "package_extra", "group")
     resolved = identity.resolve_package(page_hits, t["package"], t["package_extra"], t["group"], CONFIG)
-    new_rows = identity.backfill_package(resolved, fact, REPLACED_MONTH)
+    new_rows = identity.backfill_package(_stored(resolved), fact, REPLACED_MONTH)
     return facts.replace_period(fact, new_rows, REPLACED_MONTH)
 
 

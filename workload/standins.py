@@ -112,7 +112,7 @@ select concat({_text('l_orderkey')}, '-', {_text('ln')}, '-', {_text('pk')}, '-'
   {_text('pk')} package_id, {FILE_URL} url,
   {_pick('l_orderkey', _FORMATS)} format,
   case when ln = 7 then 'deleted' else 'active' end state,
-  cast(l_orderkey as int) as position
+  l_orderkey as position
 from (select l_orderkey, l_suppkey, l_partkey pk, l_linenumber ln from {{lineitem}}) line"""
 
 # --- fact tables ---------------------------------------------------------------------------------------------
