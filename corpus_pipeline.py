@@ -29,7 +29,11 @@ def whole_row(docs: DataFrame) -> Column:
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the rules accept; they are learnt from those of ``docs`` that have labels."""
     model = learn_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return with_statistics(docs.select(whole_row(docs), "text")).where(model.score() >= THRESHOLD).select("row.*")
+    scored = with_statistics(docs.select(whole_row(docs), "text"))
+    # Beside a number of the row the score is worked out once: Spark would else move the condition below the
+    # statistics and repeat them for every rule.
+    judged = scored.select("row", model.score().alias("score"), F.monotonically_increasing_id().alias("number"))
+    return judged.where((F.col("score") >= THRESHOLD) & (F.col("number") >= 0)).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,8 +113,8 @@ def splitting_tree(quotas: DataFrame, shards: int, scratch: Scratch, seed: int)
         both = F.array(half(F.col("lo"), F.col("mid"), F.col("left")), half(F.col("mid"), F.col("hi"), right))
         kept = F.array(half(F.col("lo"), F.col("hi"), F.col("counts")))
         nodes = split.select(F.explode(F.when(inner, both).otherwise(kept)).alias("n"), "all").select("n.*", "all")
-        if depth % 4 == 3:
-            nodes = scratch.save(nodes, f"tree-{depth}")
+        # One level a job: the draws are long expressions, and several levels of them in one plan fill the driver.
+        nodes = scratch.save(nodes, f"tree-{depth}")
     return nodes.select(F.col("lo").alias("shard"), "counts")
 
 
