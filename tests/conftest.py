@@ -41,11 +41,3 @@ def table(spark):
         return spark.createDataFrame(rows, ddl)
 
     return build
-
-
-def rows_of(df):
-    return [tuple(row) for row in df.collect()]
-
-
-def sorted_rows(df):
-    return sorted(rows_of(df), key=repr)

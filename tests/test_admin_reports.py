@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import rows_of, sorted_rows
+from helpers import rows_of, sorted_rows
 from portalmeter.config import PortalConfig
 from portalmeter.plans import admin_reports as admin
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import rows_of, sorted_rows
+from helpers import rows_of, sorted_rows
 from portalmeter.operators import facts
 from portalmeter.plans.monthly_load import FactStore
 from portalmeter.schemas import ALL_TIME

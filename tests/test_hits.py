@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import replace
 
-from conftest import rows_of, sorted_rows
+from helpers import rows_of, sorted_rows
 from portalmeter.config import HitRule, PortalConfig, SectionRule
 from portalmeter.operators import hits, visits
 

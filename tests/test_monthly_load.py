@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from conftest import sorted_rows
+from helpers import sorted_rows
 from portalmeter.config import HitRule, PortalConfig
 from portalmeter.operators.visits import historic_visits
 from portalmeter.plans.monthly_load import FactStore, feed_of, init_store, load_pages, load_visits

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from portalmeter.functions.periods import choose_period, month_range, period_title, with_period
 
 

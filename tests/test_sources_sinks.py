@@ -5,7 +5,7 @@ import glob
 
 import pytest
 
-from conftest import rows_of, sorted_rows
+from helpers import rows_of, sorted_rows
 from portalmeter.plans.catalogue import REPORTS, write_reports
 from portalmeter.sinks.csv_report import csv_report_sink, report_path
 from portalmeter.sources.report_rows import NESTED, POSITIONAL, flatten_report_rows, read_report_rows

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from portalmeter.functions.urls import decode_plus, normalise_page_path, repair_latin1, with_spellings
 
 LANGUAGES = ("es", "en", "eu", "ca", "gl")
