@@ -1,10 +1,11 @@
 """Finds short test items inside long documents: size-partitioned MinHash containment search, verified exactly.
 
-Items are partitioned by size (powers of two of their shingles). The sketch of an item is its bottom-k MinHash: the
-k shingles of least hash, with k one more than the shingles a document may lack. A document that contains enough of
-an item therefore holds at least one shingle of the sketch, whatever its own length, so nothing is lost; each
-partition's largest sketched hash bounds what a document's shingles need to be compared at all. Pairs that meet are
-verified by the shingles themselves. Only expressions, no Python.
+Items are partitioned by their shingles' length and number (powers of four). The sketch of an item is its bottom-k
+MinHash: the k shingles of least hash, with k one more than the shingles a document may lack. A document that contains
+enough of an item therefore holds at least one shingle of the sketch, whatever its own length, so nothing is lost.
+Each partition is searched with its own bound, the largest hash that its sketches hold: large items have sketches low
+in the range of hashes, so most shingles of a document never meet them. Pairs that meet are verified by the shingles
+themselves. Only expressions, no Python.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from portalmeter.llm.words import SHINGLE, Scratch, words_of
 
 CONTAINMENT = 0.8
-#: Sketches of this many rows (16 bytes each) may be sent to every task; larger ones are shuffled.
+#: Sketches of this many rows (24 bytes each) may be sent to every task; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
 
 
@@ -33,6 +34,14 @@ def _texts(words: Column, n: int) -> Column:
     return F.array_distinct(_runs(words, n, lambda i: F.array_join(F.slice(words, i + 1, n), " ")))
 
 
+def _low(words: Column, n: int, parts: list[tuple[int, int]]) -> Column:
+    """(n, part, h) of each run of n words that a partition's bound lets through."""
+    most = max(bound for _, bound in parts)
+    runs = F.array_distinct(F.filter(_hashes(words, n), lambda h: h <= F.lit(most)))
+    one = lambda h, part, bound: F.when(h <= F.lit(bound), F.struct(F.lit(n).alias("n"), F.lit(part).alias("part"), h.alias("h")))
+    return F.flatten(F.transform(runs, lambda h: F.array_compact(F.array(*[one(h, part, bound) for part, bound in parts]))))
+
+
 def item_sketches(items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame:
     """(item_id, n, size, part, sketch) per distinct item with words; n is the length of its shingles in words."""
     words = items.select("item_id", words_of(F.col("text")).alias("w")).distinct()
@@ -42,7 +51,7 @@ def item_sketches(items: DataFrame, threshold: float = CONTAINMENT) -> DataFrame
         hashes = F.when(F.col("n") == n, _hashes(F.col("w"), n)).otherwise(hashes)
     ordered = sized.select("item_id", "n", F.array_sort(F.array_distinct(hashes)).alias("h")).withColumn("size", F.size("h"))
     allowed = F.floor((1 - threshold) * F.col("size") + 1e-9).cast("int")
-    return ordered.select("item_id", "n", "size", F.floor(F.log2("size")).cast("int").alias("part"), F.slice("h", F.lit(1), allowed + 1).alias("sketch"))
+    return ordered.select("item_id", "n", "size", F.floor(F.log2("size") / 2).cast("int").alias("part"), F.slice("h", F.lit(1), allowed + 1).alias("sketch"))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, scratch: Scratch, threshold: float = CONTAINMENT) -> DataFrame:
@@ -56,25 +65,21 @@ def contained_items(docs: DataFrame, items: DataFrame, scratch: Scratch, thresho
     """
     sketches = scratch.save(item_sketches(items, threshold), "sketches")
     bounds = sketches.groupBy("n", "part").agg(F.max(F.array_max("sketch")).alias("bound"), F.sum(F.size("sketch")).alias("rows")).collect()
-    rows = sum(r["rows"] for r in bounds)
-    worded = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-    met = None
-    for n in sorted({r["n"] for r in bounds}):
-        most = max(r["bound"] for r in bounds if r["n"] == n)
-        low = F.filter(_hashes(F.col("w"), n), lambda h, most=most: h <= most)
-        sketch = sketches.where(F.col("n") == n).select("item_id", F.explode("sketch").alias("h"))
-        if rows <= BROADCAST_ROWS:
-            sketch = F.broadcast(sketch)
-        pairs = worded.select("doc_id", F.explode(low).alias("h")).join(sketch, "h").select("doc_id", "item_id")
-        met = pairs if met is None else met.union(pairs)
-    if met is None:
+    if not bounds:
         return docs.select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("n_shared"), F.lit(0).alias("n_item"), F.lit(0.0).alias("containment")).where("false")
-    met = scratch.save(met.distinct(), "met")
+    entry = sketches.select("item_id", "n", "part", F.explode("sketch").alias("h"))
+    if sum(r["rows"] for r in bounds) <= BROADCAST_ROWS:
+        entry = F.broadcast(entry)
+    # One scan: the low shingles of each length, each with the partitions whose bound it does not pass.
+    low = [_low(F.col("w"), n, [(r["part"], r["bound"]) for r in bounds if r["n"] == n]) for n in sorted({r["n"] for r in bounds})]
+    worded = docs.select("doc_id", words_of(F.col("text")).alias("w"))
+    seen = worded.select("doc_id", F.explode(F.flatten(F.array(*low))).alias("s")).select("doc_id", "s.*")
+    met = scratch.save(seen.join(entry, ["n", "part", "h"]).select("doc_id", "item_id").distinct(), "met")
 
-    item = items.select("item_id", words_of(F.col("text")).alias("iw")).distinct().where("size(iw) > 0")
-    both = met.join(item.withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i")))
-    text = docs.select(F.col("doc_id").alias("d"), "text")
-    both = text.join(both, F.col("doc_id").eqNullSafe(F.col("d"))).select("doc_id", "item_id", "iw", words_of(F.col("text")).alias("w"))
+    # The pairs are few: the documents are joined with them before any text is moved.
+    item = items.select(F.col("item_id").alias("i"), words_of(F.col("text")).alias("iw")).distinct().where("size(iw) > 0")
+    text = docs.select(F.col("doc_id").alias("d"), "text").join(met, F.col("d").eqNullSafe(F.col("doc_id")))
+    both = text.join(item, F.col("item_id").eqNullSafe(F.col("i"))).select("doc_id", "item_id", "iw", words_of(F.col("text")).alias("w"))
     shared = size = F.lit(None).cast("int")
     for n in range(1, SHINGLE + 1):
         is_n = F.least(F.size("iw"), F.lit(SHINGLE)) == n

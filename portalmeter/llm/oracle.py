@@ -3,6 +3,27 @@
 from __future__ import annotations
 
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op4_containment": """
+        WITH item AS (
+            SELECT DISTINCT item_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM benchmark
+        ), item_run AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS run
+            FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                  FROM (SELECT item_id, w, least(len(w), 5) AS n FROM item WHERE len(w) > 0))
+        ), doc AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), doc_run AS (
+            SELECT DISTINCT doc_id, n, array_to_string(w[i : i + n - 1], ' ') AS run
+            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM item_run))
+        ), shared AS (
+            SELECT doc_id, item_id, count(*) AS k FROM doc_run JOIN item_run USING (n, run) GROUP BY ALL
+        )
+        SELECT doc_id, item_id, CAST(k AS INTEGER) AS n_shared, CAST(m AS INTEGER) AS n_item, k / m AS containment
+        FROM shared JOIN (SELECT item_id, count(*) AS m FROM item_run GROUP BY ALL) USING (item_id)
+        WHERE k / m >= 0.8 - 1e-9
+    """,
     "op8_ball_tree": """
         WITH good AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
