@@ -40,4 +40,23 @@ LLM_ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op12_fill_in_middle": """
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l, sha256('7:' || doc_id) AS d
+            FROM documents
+        ), drawn AS (
+            SELECT doc_id, t, l, len(l) AS n, ('0x' || d[1:8])::BIGINT % (len(l) + 1) AS h1, ('0x' || d[9:16])::BIGINT % (len(l) + 1) AS h2,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                     WHEN ('0x' || d[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM cut
+        ), parts AS (
+            SELECT doc_id, t, n, form, array_to_string(l[1 : least(h1, h2)], '') AS p,
+                array_to_string(l[least(h1, h2) + 1 : greatest(h1, h2)], '') AS m, array_to_string(l[greatest(h1, h2) + 1 :], '') AS s
+            FROM drawn
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM parts
+    """,
 }

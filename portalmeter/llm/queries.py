@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from portalmeter.llm.ball_tree import top_inner_products
 from portalmeter.llm.containment import contained_items
+from portalmeter.llm.conversation_repair import SUMMARY, damaged, repair_conversations, text_digests
 from portalmeter.llm.dart_minhash import near_duplicate_classes
 from portalmeter.llm.dom_marginals import extract_main_text
 from portalmeter.llm.edit_counts import count_tokens, derived_edits
+from portalmeter.llm.fill_in_middle import fill_in_middle, restored
 from portalmeter.llm.gated_lm import lm_scores
 from portalmeter.llm.quality_rules import learn_quality, score_quality, with_statistics
 from portalmeter.llm.source_mix import mix_sources, taken_words
 from portalmeter.llm.substring_dedup import digest, remove_repeats
+from portalmeter.llm.toxic_spans import learn_toxicity, score_toxicity
 from portalmeter.llm.url_templates import judge_urls
 from portalmeter.llm.words import Scratch
 
@@ -88,4 +91,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(with_statistics(docs), learn_quality(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op11_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, learn_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hashes = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    summary, texts = repair_conversations(damaged(given), Scratch(spark))
+    found = summary.join(text_digests(texts), "head").withColumnsRenamed({"conv_id": "c", "sha": "repaired_sha256"})
+    # Conversations that lost all their rows come back with nothing in them.
+    every = given.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    numbers = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in SUMMARY[:-1]]
+    return every.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
