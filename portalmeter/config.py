@@ -24,13 +24,17 @@ class HitRule:
 
 @dataclass(frozen=True)
 class SectionRule:
-    """A counted section: hits whose ``column`` matches ``pattern`` as a whole; no pattern means every hit."""
+    """A counted section: hits whose ``column`` matches ``pattern`` as a whole; no pattern means every hit.
+
+    Hits of a path that matches one of ``excluded_paths`` do not count: as a whole, or for the legacy feed anywhere in it.
+    """
 
     key: str
     name: str
     column: str | None
     pattern: str
     metric: str
+    excluded_paths: tuple[str, ...] = ()
 
 
 def current_section_rules() -> tuple[SectionRule, ...]:

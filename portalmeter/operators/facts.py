@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from portalmeter import schemas
 from portalmeter.functions.periods import month_number
 from portalmeter.schemas import ALL_TIME
-from portalmeter.session import ensure_checkpoint_dir
+from portalmeter.staging import FolderSwap
 
 
 def replace_period(fact: DataFrame, new_rows: DataFrame, period: str) -> DataFrame:
@@ -29,36 +29,32 @@ def only_of_period(rows: DataFrame, period: str) -> DataFrame:
     return rows.withColumn("year_month", F.when(F.col("year_month") == period, F.col("year_month")).otherwise(wrong))
 
 
-def write_period(
-    spark: SparkSession, new_rows: DataFrame, root: str, period: str, checkpoint_fallback: str | None = None
-) -> None:
+def _swap(spark: SparkSession, root: str, period: str) -> FolderSwap:
+    return FolderSwap(spark, root, f"year_month={period}")
+
+
+def write_period(spark: SparkSession, new_rows: DataFrame, root: str, period: str) -> None:
     """Replace one month of a stored fact table, partitioned by ``year_month``; other months stay untouched.
 
-    The rows are checkpointed first: the table they were computed from is the one being changed, and an empty
-    result must be known as such, because a dynamic overwrite by nothing removes nothing. Rows of another month raise.
+    The rows are written beside the table and then swapped in by renames, so they may be computed from the month that
+    they replace, an empty result leaves the month without rows, and a crash leaves the old month or the new one:
+    writing it again, or ``recover_period``, sets right what was left half done. Rows of another month raise before
+    anything is changed.
     """
-    ensure_checkpoint_dir(spark, checkpoint_fallback)
-    rows = only_of_period(new_rows, period).checkpoint()
-    if rows.isEmpty():
-        clear_period(rows, root, period)
-        return
-    (
-        rows.hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year_month")
-        .parquet(root)
-    )
+    rows = only_of_period(new_rows, period)
+    # The check is part of the rows' one condition, so that dropping the column does not drop the check.
+    checked = rows.where(F.col("year_month") == period).drop("year_month")
+    _swap(spark, root, period).replace(checked.hint("rebalance"))
+
+
+def recover_period(spark: SparkSession, root: str, period: str) -> None:
+    """After a crash while a month was written: the month is as before or as it should become."""
+    _swap(spark, root, period).recover()
 
 
 def clear_period(empty: DataFrame, root: str, period: str) -> None:
     """Leave a month of a stored fact table without rows; ``empty`` gives the columns."""
-    (
-        empty.drop("year_month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .parquet(f"{root}/year_month={period}")
-    )
+    _swap(empty.sparkSession, root, period).replace(empty.drop("year_month"))
 
 
 def delete_period(spark: SparkSession, roots: Mapping[str, str], period: str) -> None:
@@ -84,6 +80,18 @@ def _filled(columns: Sequence[str]) -> Column:
     return test
 
 
+def package_parts(packages_fact: DataFrame) -> DataFrame:
+    """Views per month, dataset and pair of organisation and publisher, with the least path: what all-time rows add up.
+
+    Parts of one month depend on that month's rows alone.
+    """
+    return (
+        packages_fact.where(_not_all_time() & (F.col("package_name") != ""))
+        .groupBy("year_month", "package_name", "organization_id", "publisher_id")
+        .agg(F.sum("pageviews").alias("views"), F.min("url").alias("url"))
+    )
+
+
 def package_all_time(packages_fact: DataFrame) -> DataFrame:
     """One all-time row per dataset over its months.
 
@@ -94,14 +102,16 @@ def package_all_time(packages_fact: DataFrame) -> DataFrame:
     Rows are added up per pair before they are brought together per dataset, so a dataset with very many rows
     spreads over all tasks.
     """
+    rows = packages_fact.where(_not_all_time() & (F.col("package_name") != ""))
+    return _package_totals(rows.withColumnRenamed("pageviews", "views"))
+
+
+def _package_totals(rows: DataFrame) -> DataFrame:
+    """All-time rows from rows or parts (year_month, package_name, organization_id, publisher_id, views, url)."""
     pair = F.struct("organization_id", "publisher_id")
     is_known = _filled(["package_name", "organization_id", "publisher_id"])
     newest = F.min(F.struct((-month_number(F.col("year_month"))).alias("age"), "url")).alias("newest")
-    per_pair = (
-        packages_fact.where(_not_all_time() & (F.col("package_name") != ""))
-        .groupBy("package_name", "organization_id", "publisher_id")
-        .agg(F.sum("pageviews").alias("views"), newest)
-    )
+    per_pair = rows.groupBy("package_name", "organization_id", "publisher_id").agg(F.sum("views").alias("views"), newest)
     per_package = (
         per_pair.withColumns({"pair": pair, "known_pair": F.when(is_known, pair)})
         .groupBy("package_name")
@@ -125,21 +135,65 @@ def package_all_time(packages_fact: DataFrame) -> DataFrame:
     )
 
 
+def _changed(all_time: DataFrame, touched: DataFrame, parts: DataFrame, key: list[str], totals) -> DataFrame:
+    """All-time rows where those of the touched keys are made anew from their parts, and the others stay."""
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(f"old.{name}").eqNullSafe(F.col(f"touched.{name}"))
+    untouched = all_time.alias("old").join(touched.alias("touched"), same, "left_anti")
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(f"part.{name}").eqNullSafe(F.col(f"touched.{name}"))
+    return untouched.unionByName(totals(parts.alias("part").join(touched.alias("touched"), same, "left_semi")))
+
+
+def package_all_time_changed(all_time: DataFrame, old_parts: DataFrame, new_parts: DataFrame, parts: DataFrame) -> DataFrame:
+    """All-time rows after a month was replaced: only datasets of the month, before or now, are added up again.
+
+    ``old_parts`` and ``new_parts`` are the month's parts before and now (one of them may be empty), ``parts`` the parts
+    of all months with the month as it is now. Equal to ``package_all_time`` of the whole fact table.
+    """
+    touched = old_parts.select("package_name").union(new_parts.select("package_name")).distinct()
+    return _changed(all_time, touched, parts, ["package_name"], _package_totals)
+
+
+RESOURCE_KEY = ["url", "resource_id", "package_name"]
+
+
+def resource_parts(resources_fact: DataFrame) -> DataFrame:
+    """Events per month, file, dataset, pair and format, with the least page: what all-time rows add up."""
+    return (
+        resources_fact.where(_not_all_time() & (F.col("resource_id") != "") & (F.col("package_name") != ""))
+        .groupBy("year_month", *RESOURCE_KEY, "organization_id", "publisher_id", "format")
+        .agg(F.sum("total_events").alias("events"), F.min("package_url").alias("package_url"))
+    )
+
+
+def resource_all_time_changed(
+    all_time: DataFrame, old_parts: DataFrame, new_parts: DataFrame, parts: DataFrame, catalogue_segment: str = "catalogo"
+) -> DataFrame:
+    """As ``package_all_time_changed``, for files."""
+    touched = old_parts.select(*RESOURCE_KEY).union(new_parts.select(*RESOURCE_KEY)).distinct()
+    return _changed(all_time, touched, parts, RESOURCE_KEY, lambda rows: _resource_totals(rows, catalogue_segment))
+
+
 def resource_all_time(resources_fact: DataFrame, catalogue_segment: str = "catalogo") -> DataFrame:
     """One all-time row per file, dataset and address over all months; the rules are those of datasets.
 
     Formats add up. With one pair the row takes the format of the largest part, with several the format of the
     newest month's row.
     """
-    key = ["url", "resource_id", "package_name"]
+    rows = resources_fact.where(_not_all_time() & (F.col("resource_id") != "") & (F.col("package_name") != ""))
+    return _resource_totals(rows.withColumnRenamed("total_events", "events"), catalogue_segment)
+
+
+def _resource_totals(rows: DataFrame, catalogue_segment: str) -> DataFrame:
+    """All-time rows from rows or parts of files, which have ``events`` and ``package_url``."""
+    key = RESOURCE_KEY
     pair = F.struct("organization_id", "publisher_id")
     is_known = _filled(["resource_id", "package_name", "organization_id", "publisher_id"])
     newest = F.min(F.struct((-month_number(F.col("year_month"))).alias("age"), "package_url")).alias("newest")
-    per_format = (
-        resources_fact.where(_not_all_time() & (F.col("resource_id") != "") & (F.col("package_name") != ""))
-        .groupBy(*key, "organization_id", "publisher_id", "format")
-        .agg(F.sum("total_events").alias("events"), newest)
-    )
+    per_format = rows.groupBy(*key, "organization_id", "publisher_id", "format").agg(F.sum("events").alias("events"), newest)
     per_file = (
         per_format.withColumns(
             {

@@ -139,22 +139,38 @@ def _monthly_counts(
     return with_period(metric_counts(hits, [month, *dims], metric, rules), "month", as_of).drop("month")
 
 
+def cleaned_pages(counts: DataFrame, cfg: PortalConfig, url: str) -> DataFrame:
+    """``counts`` with ``page_path`` cleaned, named ``url``, and ``is_page``: whether it is the page of a dataset."""
+    pages = normalise_page_path(counts.withColumnRenamed("page_path", url), url, cfg.languages)
+    return pages.withColumn("is_page", F.col(url).rlike(cfg.dataset_page_pattern))
+
+
+def page_views(counts: DataFrame, cfg: PortalConfig, metric: str) -> DataFrame:
+    """Views per month and dataset page from counts per raw path: (year_month, end_day, url, pageviews).
+
+    ``counts`` has year_month, end_day, page_path and the metric; paths that come out equal add up, others than those of
+    dataset pages are left out.
+    """
+    pages = cleaned_pages(counts, cfg, "url").where(F.col("is_page") & (F.col(metric) > 0))
+    return pages.groupBy("year_month", "end_day", "url").agg(F.sum(metric).alias("pageviews"))
+
+
+def file_events(counts: DataFrame, cfg: PortalConfig, metric: str) -> DataFrame:
+    """Events per month, file and dataset page from counts per raw label and path, as ``page_views``."""
+    pages = cleaned_pages(counts, cfg, "package_url").where(F.col("is_page") & (F.col(metric) > 0))
+    named = pages.withColumn("url", decode_plus(F.coalesce(F.col("event_label"), F.lit(""))))
+    return named.groupBy("year_month", "end_day", "url", "package_url").agg(F.sum(metric).alias("total_events"))
+
+
 def package_hits(
     hits: DataFrame, cfg: PortalConfig, as_of: dt.date | str | None = None, feed: str = CURRENT, ts_col: str = "ts"
 ) -> DataFrame:
     """Views per month and dataset page: (year_month, end_day, url, pageviews).
 
     Hits are counted per raw path first, so the cleaning runs once per path and month and not once per hit.
-    Paths that come out equal add up.
     """
     metric = "eventCount" if feed == CURRENT else "pageviews"
-    counts = _monthly_counts(hits, ["page_path"], metric, package_rules(cfg, feed), as_of, ts_col)
-    pages = normalise_page_path(counts.withColumnRenamed("page_path", "url"), "url", cfg.languages)
-    return (
-        pages.where(F.col("url").rlike(cfg.dataset_page_pattern) & (F.col(metric) > 0))
-        .groupBy("year_month", "end_day", "url")
-        .agg(F.sum(metric).alias("pageviews"))
-    )
+    return page_views(_monthly_counts(hits, ["page_path"], metric, package_rules(cfg, feed), as_of, ts_col), cfg, metric)
 
 
 def resource_hits(
@@ -163,10 +179,4 @@ def resource_hits(
     """Events per month, file and dataset page: (year_month, end_day, url, package_url, total_events)."""
     metric = "eventCount" if feed == CURRENT else "totalEvents"
     counts = _monthly_counts(hits, ["event_label", "page_path"], metric, resource_rules(cfg, feed), as_of, ts_col)
-    pages = normalise_page_path(counts.withColumnRenamed("page_path", "package_url"), "package_url", cfg.languages)
-    return (
-        pages.where(F.col("package_url").rlike(cfg.dataset_page_pattern) & (F.col(metric) > 0))
-        .withColumn("url", decode_plus(F.coalesce(F.col("event_label"), F.lit(""))))
-        .groupBy("year_month", "end_day", "url", "package_url")
-        .agg(F.sum(metric).alias("total_events"))
-    )
+    return file_events(counts, cfg, metric)

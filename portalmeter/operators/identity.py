@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portalmeter.config import PortalConfig
@@ -11,6 +11,8 @@ from portalmeter.functions.urls import with_spellings
 from portalmeter.schemas import ALL_TIME
 
 PACKAGE_FIELDS = ("package_name", "organization_id", "publisher_id")
+#: What an event on a file is told by.
+PAIR = ["url", "package_url"]
 RESOURCE_FIELDS = ("resource_id", "package_name", "organization_id", "publisher_id", "format")
 
 
@@ -24,20 +26,32 @@ def package_ref(url: Column, cfg: PortalConfig) -> Column:
     return F.nullif(F.regexp_extract(url, cfg.dataset_page_pattern, 1), F.lit(""))
 
 
+def _group_refs(group: DataFrame, out: str) -> DataFrame:
+    """(ref, ``out``): the id of the group that a reference means, an id going before an equal name."""
+    refs = [F.struct(F.lit(0).alias("rank"), F.col("id").alias("ref"))]
+    if "name" in group.columns:
+        refs.append(F.struct(F.lit(1).alias("rank"), F.col("name").alias("ref")))
+    listed = group.select("id", F.inline(F.array(*refs))).where("ref is not null")
+    return listed.groupBy("ref").agg(F.min(F.struct("rank", "id"))["id"].alias(out))
+
+
 def catalogue_identities(package: DataFrame, extra: DataFrame, group: DataFrame) -> DataFrame:
-    """Every dataset with its organisation and its publisher, each only where that group exists."""
+    """Every dataset with its organisation and its publisher, each only where that group exists.
+
+    Both are told by a group's id, or else by its name if the table of groups has names; the id is what is given.
+    """
     publishers = (
         extra.where(F.col("key") == "publisher")
         .groupBy("package_id")
         .agg(F.min("value").alias("publisher_value"))
     )
-    owners = group.select(F.col("id").alias("organization_id"))
-    publishing = group.select(F.col("id").alias("publisher_id"))
+    owners = _group_refs(group, "organization_id").withColumnRenamed("ref", "owner_ref")
+    publishing = _group_refs(group, "publisher_id").withColumnRenamed("ref", "publisher_ref")
     return (
         package.select(F.col("id").alias("package_id"), F.col("name").alias("package_name"), "owner_org")
         .join(publishers, "package_id", "left")
-        .join(owners, F.col("owner_org") == F.col("organization_id"), "left")
-        .join(publishing, F.col("publisher_value") == F.col("publisher_id"), "left")
+        .join(owners, F.col("owner_org") == F.col("owner_ref"), "left")
+        .join(publishing, F.col("publisher_value") == F.col("publisher_ref"), "left")
         .select("package_id", *PACKAGE_FIELDS)
     )
 
@@ -86,6 +100,25 @@ def _newest_identity(
     return newest.select(*by, *[F.col(f"newest.{name}").alias(f"past_{name}") for name in fields])
 
 
+def _usable_packages() -> Column:
+    """Rows that tell the identity of a path."""
+    return (F.col("year_month") != ALL_TIME) & _is_filled("package_name") & _is_filled("organization_id") & _is_filled("publisher_id")
+
+
+def _usable_resources() -> Column:
+    """Rows that tell the identity of a file on a page."""
+    known = F.col("resource_id").isNotNull() & (F.col("package_name") != ALL_TIME) & _is_filled("organization_id")
+    return (F.col("year_month") != ALL_TIME) & known & _is_filled("publisher_id") & _is_filled("format")
+
+
+def _lost_packages() -> Column:
+    return F.col("package_name").isNull()
+
+
+def _lost_resources() -> Column:
+    return F.col("package_name").isNull() | F.col("resource_id").isNull()
+
+
 def backfill_package(
     resolved: DataFrame, packages_fact: DataFrame, period: str | None = None
 ) -> DataFrame:
@@ -93,22 +126,24 @@ def backfill_package(
 
     ``period`` is the month being loaded: its old rows are about to be replaced and so do not count. Only pages
     without a dataset are looked up; the others go by untouched. ``resolved`` is read for both, so it should be a
-    stored or checkpointed table.
+    stored table.
     """
-    usable = (
-        (F.col("year_month") != ALL_TIME)
-        & _is_filled("package_name")
-        & _is_filled("organization_id")
-        & _is_filled("publisher_id")
-    )
+    usable = _usable_packages()
     if period is not None:
         usable = usable & (F.col("year_month") != period)
-    unknown = F.col("package_name").isNull()
-    lost = resolved.where(unknown)
+    lost = resolved.where(_lost_packages())
     past = _newest_identity(packages_fact.where(usable), ["url"], PACKAGE_FIELDS, lost)
+    return resolved.where(~_lost_packages()).union(_filled_packages(lost.join(past, "url", "left")).select(*resolved.columns))
+
+
+def _filled_packages(rows: DataFrame) -> DataFrame:
     filled = {name: F.col(f"past_{name}") for name in PACKAGE_FIELDS}
-    found = lost.join(past, "url", "left").withColumns(filled).withColumn("package_name", F.coalesce("package_name", F.lit("")))
-    return resolved.where(~unknown).union(found.select(*resolved.columns))
+    return rows.withColumns(filled).withColumn("package_name", F.coalesce("package_name", F.lit("")))
+
+
+def _filled_resources(rows: DataFrame) -> DataFrame:
+    filled = {name: F.col(f"past_{name}") for name in RESOURCE_FIELDS}
+    return rows.withColumns(filled).withColumn("resource_id", F.coalesce("resource_id", F.lit("")))
 
 
 def resolve_resource(
@@ -124,7 +159,7 @@ def resolve_resource(
     A file is the first of its dataset, by position, stored under any spelling of the address. Per dataset and
     address only the first file can win, so the catalogue shrinks to that before the join and each spelling meets
     at most one row. A match does not depend on the month or the page: distinct pairs of dataset and address are
-    spelled out and matched, rows without a dataset never.
+    spelled out and matched, rows without a dataset never. ``hits`` is read twice, so it should be a stored table.
     """
     first_files = (
         resource.where(F.coalesce("state", F.lit("")) != "deleted")
@@ -153,20 +188,122 @@ def backfill_resource(
     Nothing found now is kept for them, not even the dataset of a file that is missing from it. ``period`` and
     ``resolved`` are as for ``backfill_package``.
     """
-    usable = (
-        (F.col("year_month") != ALL_TIME)
-        & F.col("resource_id").isNotNull()
-        & (F.col("package_name") != ALL_TIME)
-        & _is_filled("organization_id")
-        & _is_filled("publisher_id")
-        & _is_filled("format")
-    )
+    usable = _usable_resources()
     if period is not None:
         usable = usable & (F.col("year_month") != period)
-    by = ["url", "package_url"]
-    unknown = F.col("package_name").isNull() | F.col("resource_id").isNull()
-    lost = resolved.where(unknown)
-    past = _newest_identity(resources_fact.where(usable), by, RESOURCE_FIELDS, lost)
-    filled = {name: F.col(f"past_{name}") for name in RESOURCE_FIELDS}
-    found = lost.join(past, by, "left").withColumns(filled).withColumn("resource_id", F.coalesce("resource_id", F.lit("")))
-    return resolved.where(~unknown).union(found.select(*resolved.columns))
+    lost = resolved.where(_lost_resources())
+    past = _newest_identity(resources_fact.where(usable), PAIR, RESOURCE_FIELDS, lost)
+    return resolved.where(~_lost_resources()).union(_filled_resources(lost.join(past, PAIR, "left")).select(*resolved.columns))
+
+
+# --- months loaded together ----------------------------------------------------------------------------------
+
+
+def _as_of(
+    resolved: DataFrame, fact: DataFrame, by: list[str], fields: tuple[str, ...], lost: Column, usable: Column, first: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key has nothing lost, and the others with ``past_`` columns for their lost rows.
+
+    A month of the range sees, as if months were loaded one after another, later months as they were, earlier months of
+    the range as they are loaded now, and months before the range. So a lost row takes the newest old identity if its
+    month is later than the row's; else the last one that a month of the range before it has or was given; else the
+    newest from before the range. One window over a key's months finds the second; it holds a row per month.
+    """
+    keys = resolved.where(lost).select(*by).distinct()
+    # Old identities of touched keys: the newest of all, and the newest from before the range.
+    old = fact.where(usable).join(keys, by, "left_semi").withColumn("month", month_number(F.col("year_month")))
+    identity = F.struct((-F.col("month")).alias("age"), *fields)
+    known = old.groupBy(*by).agg(F.min(identity).alias("newest"), F.min(F.when(F.col("year_month") < first, identity)).alias("before"))
+    rows = resolved.join(keys, by, "left_semi").join(known, by, "left").withColumn("month", month_number(F.col("year_month")))
+    later = F.when(-F.col("newest.age") > F.col("month"), F.col("newest"))
+    own = F.struct((-F.col("month")).alias("age"), *fields)
+    told = F.when(lost, later).otherwise(F.when(usable, own))
+    earlier = Window.partitionBy(*by).orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn("found", F.coalesce(later, F.last(told, ignorenulls=True).over(earlier), F.col("before")))
+    past = found.select(*resolved.columns, *[F.col(f"found.{name}").alias(f"past_{name}") for name in fields])
+    return resolved.join(keys, by, "left_anti"), past
+
+
+def backfill_package_range(resolved: DataFrame, packages_fact: DataFrame, first: str) -> DataFrame:
+    """``backfill_package`` for several months at once, equal to loading them one after another from ``first`` on.
+
+    ``resolved`` has a row per month and path, of months from ``first`` on; all months between are loaded, also those
+    without rows, so no old row of them counts for a later one. It is read several times and should be stored.
+    """
+    whole, past = _as_of(resolved, packages_fact, ["url"], PACKAGE_FIELDS, _lost_packages(), _usable_packages(), first)
+    same = past.where(~_lost_packages()).select(*resolved.columns)
+    return whole.unionByName(same).unionByName(_filled_packages(past.where(_lost_packages())).select(*resolved.columns))
+
+
+def backfill_resource_range(resolved: DataFrame, resources_fact: DataFrame, first: str) -> DataFrame:
+    """``backfill_resource`` for several months at once, as ``backfill_package_range``."""
+    whole, past = _as_of(resolved, resources_fact, PAIR, RESOURCE_FIELDS, _lost_resources(), _usable_resources(), first)
+    same = past.where(~_lost_resources()).select(*resolved.columns)
+    return whole.unionByName(same).unionByName(_filled_resources(past.where(_lost_resources())).select(*resolved.columns))
+
+
+# --- identities as a table of their own ----------------------------------------------------------------------
+
+
+def _known(rows: DataFrame, by: list[str], fields: tuple[str, ...]) -> DataFrame:
+    """Per key the identities of its two newest months, so that one month can be left out: newest, previous."""
+    month = rows.withColumn("age", -month_number(F.col("year_month"))).groupBy(*by, "age").agg(F.min(F.struct(*fields)).alias("identity"))
+    listed = month.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("age", "identity"))).alias("months"))
+    entry = lambda i: F.get("months", i)
+    return listed.select(*by, entry(0).alias("newest"), entry(1).alias("previous"))
+
+
+def package_identities(packages_fact: DataFrame) -> DataFrame:
+    """(url, newest, previous): what the two newest months that know a path say of it, each (age, identity)."""
+    return _known(packages_fact.where(_usable_packages()), ["url"], PACKAGE_FIELDS)
+
+
+def resource_identities(resources_fact: DataFrame) -> DataFrame:
+    """(url, package_url, newest, previous) of files on pages."""
+    return _known(resources_fact.where(_usable_resources()), PAIR, RESOURCE_FIELDS)
+
+
+def _changed(known: DataFrame, fact: DataFrame, period: str, by: list[str], usable: Column, fields: tuple[str, ...]) -> DataFrame:
+    # Keys that the month tells of now, or told of when it was last loaded.
+    age = -int(period.replace("-", ""))
+    told = known.where((F.col("newest.age") == age) | (F.col("previous.age") == age)).select(*by)
+    touched = fact.where(usable & (F.col("year_month") == period)).select(*by).union(told).distinct()
+    anew = _known(fact.where(usable).join(touched, by, "left_semi"), by, fields)
+    return known.join(touched, by, "left_anti").unionByName(anew)
+
+
+def package_identities_changed(known: DataFrame, packages_fact: DataFrame, period: str) -> DataFrame:
+    """The identities after a month was replaced: only paths of the month, before or now, are looked up again."""
+    return _changed(known, packages_fact, period, ["url"], _usable_packages(), PACKAGE_FIELDS)
+
+
+def resource_identities_changed(known: DataFrame, resources_fact: DataFrame, period: str) -> DataFrame:
+    """As ``package_identities_changed``, for files on pages."""
+    return _changed(known, resources_fact, period, PAIR, _usable_resources(), RESOURCE_FIELDS)
+
+
+def store_identities(known: DataFrame, name: str, path: str, buckets: int = 64) -> None:
+    """Writes identities as a table of the catalogue, in buckets by path, so that lookups do not move it."""
+    by = [c for c in known.columns if c not in ("newest", "previous")]
+    known.repartition(buckets, *by).write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+
+
+def _told(known: DataFrame, by: list[str], fields: tuple[str, ...], period: str | None) -> DataFrame:
+    chosen = F.col("newest")
+    if period is not None:
+        chosen = F.when(F.col("newest.age") == -int(period.replace("-", "")), F.col("previous")).otherwise(chosen)
+    return known.select(*by, chosen.alias("told")).select(*by, *[F.col(f"told.identity.{name}").alias(f"past_{name}") for name in fields])
+
+
+def backfill_package_known(resolved: DataFrame, known: DataFrame, period: str | None = None) -> DataFrame:
+    """``backfill_package`` from a table of identities instead of the whole history."""
+    past = _told(known, ["url"], PACKAGE_FIELDS, period)
+    lost = _filled_packages(resolved.where(_lost_packages()).join(past, "url", "left"))
+    return resolved.where(~_lost_packages()).union(lost.select(*resolved.columns))
+
+
+def backfill_resource_known(resolved: DataFrame, known: DataFrame, period: str | None = None) -> DataFrame:
+    """``backfill_resource`` from a table of identities instead of the whole history."""
+    past = _told(known, PAIR, RESOURCE_FIELDS, period)
+    lost = _filled_resources(resolved.where(_lost_resources()).join(past, PAIR, "left"))
+    return resolved.where(~_lost_resources()).union(lost.select(*resolved.columns))

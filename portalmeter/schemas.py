@@ -22,13 +22,22 @@ HITS = (
     "section_s3 string"
 )
 
+# Hits are stored by day, so that a load reads the days of its period only.
+HITS_PARTITION = "day"
+
+# What a load of stored reports could not use, and what became of the rest.
+REJECTED_ROWS = "year_month string not null, report string not null, reason string not null, line string not null"
+LOAD_TOTALS = (
+    "year_month string not null, report string not null, lines bigint not null, used bigint not null, "
+    "rejected bigint not null, read bigint not null, stored bigint not null, left_out bigint not null"
+)
 # Stored report rows of the two analytics feeds.
 NESTED_REPORT_ROW = "dimensionValues array<struct<value:string>>, metricValues array<struct<value:string>>"
 POSITIONAL_REPORT_ROW = "array<string>"
 
 PACKAGE = "id string, name string, title string, type string, state string, private boolean, owner_org string"
 PACKAGE_EXTRA = "package_id string, key string, value string, state string"
-GROUP = "id string, title string, type string, state string"
+GROUP = "id string, title string, type string, state string, name string"
 GROUP_EXTRA = "group_id string, key string, value string, state string"
 RESOURCE = "id string, package_id string, url string, format string, state string, position bigint"
 
@@ -54,6 +63,8 @@ TABLES = {
     "packages_fact": PACKAGES_FACT,
     "resources_fact": RESOURCES_FACT,
     "visits_fact": VISITS_FACT,
+    "rejected_rows": REJECTED_ROWS,
+    "load_totals": LOAD_TOTALS,
     "hits": HITS,
     "package": PACKAGE,
     "package_extra": PACKAGE_EXTRA,

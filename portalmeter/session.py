@@ -36,11 +36,6 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return directory
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, fallback))
-
-
 def folder_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)

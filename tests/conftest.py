@@ -8,9 +8,10 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from portalmeter import schemas  # noqa: E402
-from portalmeter.session import configure, ensure_checkpoint_dir  # noqa: E402
+from portalmeter.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,13 +21,14 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     configure(session)
-    ensure_checkpoint_dir(session, str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 
@@ -38,6 +40,8 @@ def table(spark):
     def build(name_or_ddl, rows):
         # Nullability is left out: fixtures may hold what a stored table would refuse.
         ddl = schemas.TABLES.get(name_or_ddl, name_or_ddl).replace(" not null", "")
-        return spark.createDataFrame(rows, ddl)
+        # Columns left out at the end of a row are null.
+        width = len(T.StructType.fromDDL(ddl).fields)
+        return spark.createDataFrame([tuple(r) + (None,) * (width - len(r)) for r in rows], ddl)
 
     return build

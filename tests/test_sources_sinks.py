@@ -42,7 +42,7 @@ def test_positional_report_rows(spark, tmp_path):
 
 def test_parquet_tables_come_with_their_schema(spark, table, tmp_path):
     table("group", [("o1", "Org", "organization", "active")]).write.parquet(str(tmp_path / "group"))
-    assert rows_of(table_source(spark, "group", portal_tables(str(tmp_path)))) == [("o1", "Org", "organization", "active")]
+    assert rows_of(table_source(spark, "group", portal_tables(str(tmp_path)))) == [("o1", "Org", "organization", "active", None)]
 
 
 def read_csv(path):

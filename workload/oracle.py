@@ -112,6 +112,13 @@ add(
     f", report as ({_CONTENTS}) select {quoted(_HEADER)} as line union all select {_LINE} from report",
 )
 
+add(
+    "csv_report_lines_parts",
+    "packages_fact",
+    """select '"year_month","url","package_name","pageviews"' as line
+union all select '"' || year_month || '","' || url || '","' || package_name || '","' || pageviews || '"' from sx_packages_fact""",
+)
+
 # --- hits ----------------------------------------------------------------------------------------------------
 
 _MONTH_OF_TS = "cast(date_trunc('month', ts) as date)"
@@ -186,21 +193,70 @@ add(
 add("package_hits_legacy", "hits", _package_hits(f"{_IN_CATALOGUE} and {_THIRD_SECTION} and event_category is null"))
 
 
-def _resource_hits(passes: str) -> str:
+def _event_pages(passes: str) -> str:
     return (
         f", raw as (select {_MONTH_OF_TS} as m, event_label, page_path as package_url from sx_hits "
         f"where {passes} and regexp_matches(page_path, {quoted(PAGE)}, 'i') "
         f"and not regexp_matches(page_path, {quoted(PAGE.replace('([a-z0-9_-]+)', 'new'))}, 'i')), "
-        f"{cleaned('raw', 'package_url', 'clean')} select strftime(m, '%Y-%m') as year_month, {end_day_of('m')} as end_day, "
-        f"{unquote('event_label')} as url, package_url, count(*) as total_events from clean "
-        f"where regexp_matches(package_url, {quoted(PAGE)}) group by all"
+        f"{cleaned('raw', 'package_url', 'clean')}"
     )
 
 
+_EVENT_COUNTS = (
+    f"select strftime(m, '%Y-%m') as year_month, {end_day_of('m')} as end_day, "
+    f"{unquote('event_label')} as url, package_url, count(*) as total_events from clean "
+    f"where regexp_matches(package_url, {quoted(PAGE)}) group by all"
+)
+
+
+def _resource_hits(passes: str) -> str:
+    return f"{_event_pages(passes)} {_EVENT_COUNTS}"
+
+
 add("resource_hits", "hits", _resource_hits("lower(event_category) = 'resource'"))
 add("resource_hits_legacy", "hits", _resource_hits("lower(event_category) = 'resource' and lower(event_action) = 'download'"))
 
 
+# Reports made of hits: lines of some lengths cannot be used.
+_READ = "kind not in (0, 1, 2)"
+_REPORT = f", counted as (select *, (n + length(page_path)) % 7 as kind from (select {_MONTH_OF_TS} as m, page_path, count(*) as n from sx_hits group by all))"
+_VIEWS_READ = (
+    _REPORT
+    + f", raw as (select m, page_path as url, n from counted where {_READ}), {cleaned('raw', 'url', 'clean')} "
+    + f"select strftime(m, '%Y-%m') as year_month, {end_day_of('m')} as end_day, url, cast(sum(n) as bigint) as pageviews "
+    + f"from clean where regexp_matches(url, {quoted(PAGE)}) group by all"
+)
+_EVENTS_READ = (
+    ", counted as (select *, (n + length(event_label) + length(page_path)) % 7 as kind from "
+    f"(select {_MONTH_OF_TS} as m, coalesce(event_label, '') as event_label, page_path, count(*) as n from sx_hits group by all)), "
+    f"raw as (select m, event_label, page_path as package_url, n from counted where {_READ}), {cleaned('raw', 'package_url', 'clean')} "
+    f"select strftime(m, '%Y-%m') as year_month, {end_day_of('m')} as end_day, {unquote('event_label')} as url, package_url, "
+    f"cast(sum(n) as bigint) as total_events from clean where regexp_matches(package_url, {quoted(PAGE)}) group by all"
+)
+for _layout in ("", "_positional"):
+    add(f"package_views_from_report{_layout}", "hits", _VIEWS_READ)
+    add(f"resource_events_from_report{_layout}", "hits", _EVENTS_READ)
+add(
+    "report_rows_rejected",
+    "hits",
+    _REPORT
+    + " select strftime(m, '%Y-%m') as year_month, 'packages' as report, "
+    + "case kind when 0 then 'unreadable' when 1 then 'not a number' else 'incomplete' end as reason, count(*) as lines "
+    + "from counted where kind in (0, 1, 2) group by all",
+)
+add(
+    "report_load_totals",
+    "hits",
+    _REPORT
+    + f", raw as (select m, page_path as url, n, kind from counted), {cleaned('raw', 'url', 'clean')} "
+    + f", marked as (select *, {_READ} as ok, regexp_matches(url, {quoted(PAGE)}) as is_page from clean) "
+    + "select strftime(m, '%Y-%m') as year_month, 'packages' as report, count(*) as lines, count(*) filter (ok) as used, "
+    + "count(*) filter (not ok) as rejected, cast(coalesce(sum(n) filter (ok), 0) as bigint) as \"read\", "
+    + "cast(coalesce(sum(n) filter (ok and is_page), 0) as bigint) as stored, "
+    + "cast(coalesce(sum(n) filter (ok and not is_page), 0) as bigint) as left_out from marked group by all",
+)
+
+
 def _visits(rules: tuple[SectionRule, ...], passes: str) -> str:
     phrases = ", ".join(
         f"({quoted(r.key)}, {quoted(r.name)}, {quoted(r.column)}, {quoted(p)})"
@@ -234,6 +290,23 @@ add(
     _visits(q.CONFIG.current_sections, "lower(event_name) = 'load_complete'")
     + f" union all select strftime(m, '%Y-%m'), cast(day(last_day(m)) as integer), n, 'all', '' from (values {_HISTORY}) h(m, n)",
 )
+add("section_visits_from_report", "hits", _visits(q.CONFIG.legacy_sections, "event_category is null"))
+_SLASHED, _IN_CATALOGUE_PATH = "page_path like '%/'", "lower(page_path) like '/catalogo/%'"
+add(
+    "section_visits_filtered",
+    "hits",
+    f"""
+, kept as (select *, {_MONTH_OF_TS} as m, lower(event_name) = 'load_complete' as done from sx_hits where not ends_with(lower(host_name), '.org')),
+live as (
+  select m, 'all' as key, '' as key_value, count(distinct session_id) filter (not ({_SLASHED})) as sessions from kept group by 1
+  union all
+  select m, 'section', 'datos', count(*) filter (done and lower(section_s2) in ('datasets', 'conjuntos de datos') and not ({_SLASHED}) and not ({_IN_CATALOGUE_PATH})) from kept group by 1
+  union all
+  select m, 'section', 'inicio', count(*) filter (done and lower(section_s1) = 'inicio') from kept group by 1
+  union all
+  select m, 'section', 'visitas-turismo', count(distinct session_id) filter (done and lower(section_s3) = 'turismo') from kept group by 1)
+select strftime(m, '%Y-%m') as year_month, {end_day_of('m')} as end_day, sessions, key, key_value from live""",
+)
 add("section_visits_legacy", "hits", _visits(q.CONFIG.legacy_sections, "event_category is null"))
 
 # --- identities ----------------------------------------------------------------------------------------------
@@ -242,9 +315,9 @@ _CATALOGUE = """
 , who as (
   select p.id, p.name, o.id as org, g.id as pub
   from sx_package p
-  left join sx_group o on o.id = p.owner_org
+  left join sx_group o on o.id = p.owner_org or (o.name = p.owner_org and not exists (select 1 from sx_group x where x.id = p.owner_org))
   left join sx_package_extra e on e.package_id = p.id and e.key = 'publisher'
-  left join sx_group g on g.id = e.value)"""
+  left join sx_group g on g.id = e.value or (g.name = e.value and not exists (select 1 from sx_group x where x.id = e.value)))"""
 _CATALOGUE_VIEWS = "package package_extra group"
 _REF = f"nullif(regexp_extract({{url}}, {quoted(PAGE)}, 2), '')"
 
@@ -300,10 +373,12 @@ _SPELLINGS = ", ".join(
         for expression in (_SHORT, unquote(_SHORT), latin1_as_utf8(_SHORT), latin1_as_utf8(unquote(_SHORT)))
     ]
 )
-_RESOLVED_RESOURCES = f"""
+
+def _resolved_resources(hits: str) -> str:
+    return f"""
 , page as (
   select h.*, w.id as package_id, w.name as package_name, w.org as organization_id, w.pub as publisher_id
-  from (select *, {_REF.format(url='package_url')} as ref from sx_file_hits) h
+  from (select *, {_REF.format(url='package_url')} as ref from {hits}) h
   left join who w on w.id = h.ref or (w.name = h.ref and not exists (select 1 from who x where x.id = h.ref))),
 spelled as (select distinct url, unnest([{_SPELLINGS}]) as spelling from (select distinct url from page)),
 file as (
@@ -316,29 +391,33 @@ found as (
   select p.year_month, p.end_day, p.url, p.package_url, p.total_events, f.resource_id, p.package_name,
     p.organization_id, p.publisher_id, f.format
   from page p left join file f on f.package_url = p.package_url and f.url = p.url)"""
-add("resolve_resource", f"file_hits resource {_CATALOGUE_VIEWS}", _CATALOGUE + _RESOLVED_RESOURCES + " select * from found")
-add(
-    "backfill_resource",
-    f"file_hits resource resources_fact {_CATALOGUE_VIEWS}",
-    _CATALOGUE
-    + _RESOLVED_RESOURCES
-    + """
-, past as (
+
+
+def _backfilled_resources(resolved: str, fact: str, out: str, month: str = "-") -> str:
+    return f"""
+, {out}_past as (
   select url, package_url, resource_id, package_name, organization_id, publisher_id, format
-  from sx_resources_fact
-  where year_month <> 'All' and resource_id is not null and package_name <> 'All' and organization_id <> ''
-    and publisher_id <> '' and format <> ''
+  from {fact}
+  where year_month <> 'All' and year_month <> '{month}' and resource_id is not null and package_name <> 'All'
+    and organization_id <> '' and publisher_id <> '' and format <> ''
   qualify row_number() over (partition by url, package_url
     order by year_month desc, resource_id, package_name, organization_id, publisher_id, format) = 1)
-select f.year_month, f.end_day, f.url, f.package_url, f.total_events,
-  case when missing then coalesce(p.resource_id, '') else f.resource_id end as resource_id,
-  case when missing then p.package_name else f.package_name end as package_name,
-  case when missing then p.organization_id else f.organization_id end as organization_id,
-  case when missing then p.publisher_id else f.publisher_id end as publisher_id,
-  case when missing then p.format else f.format end as format
-from (select *, package_name is null or resource_id is null as missing from found) f
-left join past p on p.url = f.url and p.package_url = f.package_url""",
-)
+, {out} as (
+  select f.year_month, f.end_day, f.url, f.package_url, f.total_events,
+    case when missing then coalesce(p.resource_id, '') else f.resource_id end as resource_id,
+    case when missing then p.package_name else f.package_name end as package_name,
+    case when missing then p.organization_id else f.organization_id end as organization_id,
+    case when missing then p.publisher_id else f.publisher_id end as publisher_id,
+    case when missing then p.format else f.format end as format
+  from (select *, package_name is null or resource_id is null as missing from {resolved}) f
+  left join {out}_past p on p.url = f.url and p.package_url = f.package_url)"""
+
+
+add("resolve_resource", f"file_hits resource {_CATALOGUE_VIEWS}", _CATALOGUE + _resolved_resources("sx_file_hits") + " select * from found")
+_BACKFILLED = _CATALOGUE + _resolved_resources("sx_file_hits") + _backfilled_resources("found", "sx_resources_fact", "filled") + " select * from filled"
+add("backfill_resource", f"file_hits resource resources_fact {_CATALOGUE_VIEWS}", _BACKFILLED)
+add("backfill_resource_from_identities", f"file_hits resource resources_fact {_CATALOGUE_VIEWS}", _BACKFILLED)
+add("backfill_package_from_identities", f"page_hits packages_fact {_CATALOGUE_VIEWS}", _CATALOGUE + _resolved_packages("sx_page_hits", "found") + _backfilled_packages("found", "sx_packages_fact", "filled") + " select * from filled")
 
 # --- fact tables ---------------------------------------------------------------------------------------------
 
@@ -351,6 +430,7 @@ add(
     + _backfilled_packages("found", "sx_packages_fact", "filled", q.REPLACED_MONTH)
     + f" select * from sx_packages_fact where year_month <> '{q.REPLACED_MONTH}' union all by name select * from filled",
 )
+ORACLE_SQL["replace_period_stored"] = ORACLE_SQL["replace_period"]
 add("replace_period_by_nothing", "visits_fact", f"select * from sx_visits_fact where year_month <> '{q.REPLACED_MONTH}'")
 
 
@@ -377,33 +457,96 @@ def _packages_in_total(fact: str, out: str) -> str:
 
 
 add("package_all_time", "packages_fact", _packages_in_total("sx_packages_fact", "totals") + " select * from totals")
-add(
-    "resource_all_time",
-    "resources_fact",
-    """
-, known as (
-  select * from sx_resources_fact
+
+
+def _resources_in_total(fact: str, out: str) -> str:
+    key = "resource_id, package_name, url"
+    return f"""
+, {out}_known as (
+  select * from {fact}
   where lower(year_month) <> 'all' and resource_id <> '' and package_name <> '' and organization_id <> '' and publisher_id <> '')
-, sums as (
-  select resource_id, package_name, url, sum(total_events) as total_events,
-    count(distinct (organization_id, publisher_id)) as pairs
-  from known group by all)
-, largest as (
-  select resource_id, package_name, url, organization_id, publisher_id, format
-  from (select resource_id, package_name, url, organization_id, publisher_id, format, sum(total_events) as n
-        from known group by all)
-  qualify row_number() over (partition by resource_id, package_name, url order by n desc, format) = 1)
-, newest as (
-  select resource_id, package_name, url, organization_id, publisher_id, format
-  from sx_resources_fact where lower(year_month) <> 'all'
-  qualify row_number() over (partition by resource_id, package_name, url order by year_month desc, package_url) = 1)
-, label as (
-  select s.*, l.organization_id, l.publisher_id, l.format from sums s join largest l using (resource_id, package_name, url) where pairs = 1
+, {out}_sums as (
+  select {key}, sum(total_events) as total_events, count(distinct (organization_id, publisher_id)) as pairs
+  from {out}_known group by all)
+, {out}_largest as (
+  select {key}, organization_id, publisher_id, format
+  from (select {key}, organization_id, publisher_id, format, sum(total_events) as n from {out}_known group by all)
+  qualify row_number() over (partition by {key} order by n desc, format) = 1)
+, {out}_newest as (
+  select {key}, organization_id, publisher_id, format
+  from {fact} where lower(year_month) <> 'all'
+  qualify row_number() over (partition by {key} order by year_month desc, package_url) = 1)
+, {out}_label as (
+  select s.*, l.organization_id, l.publisher_id, l.format from {out}_sums s join {out}_largest l using ({key}) where pairs = 1
   union all
-  select s.*, n.organization_id, n.publisher_id, n.format from sums s join newest n using (resource_id, package_name, url) where pairs > 1)
-select 'All' as year_month, cast(0 as integer) as end_day, cast(total_events as bigint) as total_events, url, format,
-  '/catalogo/' || package_name as package_url, resource_id, package_name, organization_id, publisher_id
-from label""",
+  select s.*, n.organization_id, n.publisher_id, n.format from {out}_sums s join {out}_newest n using ({key}) where pairs > 1)
+, {out} as (
+  select 'All' as year_month, cast(0 as integer) as end_day, cast(total_events as bigint) as total_events, url, format,
+    '/catalogo/' || package_name as package_url, resource_id, package_name, organization_id, publisher_id
+  from {out}_label)"""
+
+
+add("resource_all_time", "resources_fact", _resources_in_total("sx_resources_fact", "totals") + " select * from totals")
+
+
+def _month_replaced(fact: str, count: str) -> str:
+    return f"""
+, fact as (
+  select * from {fact} where year_month <> '{q.REPLACED_MONTH}'
+  union all by name
+  select * replace ({count} * 2 as {count}) from {fact} where year_month = '{q.REPLACED_MONTH}' and length(url) % 3 <> 0
+  union all by name
+  select * replace ('{q.REPLACED_MONTH}' as year_month) from {fact} where year_month = '1997-07' and length(url) % 2 = 0)"""
+
+
+add("package_all_time_by_change", "packages_fact", _month_replaced("sx_packages_fact", "pageviews") + _packages_in_total("fact", "totals") + " select * from totals")
+add("resource_all_time_by_change", "resources_fact", _month_replaced("sx_resources_fact", "total_events") + _resources_in_total("fact", "totals") + " select * from totals")
+
+
+def _months() -> list[str]:
+    first, last = q.RANGE
+    return [f"{first[:4]}-{m:02d}" for m in range(int(first[5:]), int(last[5:]) + 1)]
+
+
+def _in_turn(columns: str, fact: str, backfilled) -> str:
+    """Months loaded one after another: each sees the table that the one before it left."""
+    steps, now = "", fact
+    for i, month in enumerate(_months()):
+        steps += f", of_{i} as (select * from found where year_month = '{month}')"
+        steps += backfilled(f"of_{i}", now, f"filled_{i}", month)
+        steps += f", fact_{i} as (select * from {now} where year_month <> '{month}' union all by name select {columns} from filled_{i})"
+        now = f"fact_{i}"
+    return steps + f" select * from {now}"
+
+
+add(
+    "load_month_range",
+    f"page_hits packages_fact {_CATALOGUE_VIEWS}",
+    _CATALOGUE + _resolved_packages("sx_page_hits", "found") + _in_turn("*", "sx_packages_fact", _backfilled_packages),
+)
+add(
+    "load_month_range_resources",
+    f"file_hits resource resources_fact {_CATALOGUE_VIEWS}",
+    _CATALOGUE + _resolved_resources("sx_file_hits") + _in_turn("*", "sx_resources_fact", _backfilled_resources),
+)
+add(
+    "monthly_load_resources",
+    f"hits resource resources_fact {_CATALOGUE_VIEWS}",
+    _CATALOGUE
+    + _event_pages("lower(event_category) = 'resource'")
+    + f", counted as ({_EVENT_COUNTS})"
+    + _resolved_resources("counted")
+    + _backfilled_resources("found", "sx_resources_fact", "filled")
+    + ", fact as (select * from sx_resources_fact where year_month <> '2024-01' union all by name select * from filled)"
+    + _resources_in_total("fact", "totals")
+    + " select * from fact union all by name select * from totals",
+)
+add(
+    "monthly_load_visits",
+    "hits visits_fact",
+    ", old as (select * from sx_visits_fact where year_month <> '2024-01')"
+    + _visits(q.CONFIG.current_sections, "lower(event_name) = 'load_complete'")
+    + " where strftime(m, '%Y-%m') = '2024-01' union all by name select * from old",
 )
 add(
     "monthly_load_packages",

@@ -80,6 +80,7 @@ _SECTOR = _pick("p_size", ("turismo", "salud", "empleo", "deporte", "otra-cosa")
 VIEWS["package_extra"] = f"""
 select {_text('p_partkey')} package_id, 'publisher' as key,
   case when p_partkey % 29 = 0 then concat('none-', {_text('p_partkey')})
+       when p_partkey % 16 = 8 then concat('org-', {_text(_share('p_partkey', PARTS_PER_SUPPLIER))})
        else {_text(_share('(p_partkey - p_partkey % 3)', PARTS_PER_SUPPLIER))} end as value,
   case when p_partkey % 37 = 0 then 'deleted' else 'active' end state
 from {{part}}
@@ -97,7 +98,8 @@ VIEWS["group"] = f"""
 select {_text('s_suppkey')} id,
   case when s_suppkey % 37 = 0 then null
        when s_suppkey % 5 = 0 then concat('Org ', {_text('s_nationkey')}) else s_name end title,
-  'organization' type, case when s_acctbal < 0 then 'deleted' else 'active' end state
+  'organization' type, case when s_acctbal < 0 then 'deleted' else 'active' end state,
+  concat('org-', {_text('s_suppkey')}) name
 from {{supplier}}"""
 
 VIEWS["group_extra"] = f"""
