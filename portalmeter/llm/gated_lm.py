@@ -3,49 +3,78 @@
 The model is a GRU in numpy with a class-factored output: a class of the next word, then the word within it. The
 frequent words are told apart by the network; the others fall into a few spelling classes, within which a word has
 its smoothed share of the training tokens, so that every text has a proper probability. Training runs truncated
-backpropagation through time in every part of the corpus at once and averages the parameters after each round.
-Scoring carries the state across windows from the first word of a document to its end.
+backpropagation through time over every training document, in all parts of the corpus at once, and averages the
+parameters after each round. Scoring carries the state across windows from the first word of a document to its end.
 
-Counts come from every training token. Documents are dealt into chunks of bounded size; each chunk gets back the
-counts of its own words by a join, so no table of all words is ever sent to a task.
+Texts are cut into tokens once: chunks of documents of bounded size keep the numbers of their words, and each word's
+hash of 64 bits stands for it from there on. Counts come from every training token. Each chunk gets back the counts of
+its own words by a join, so no table of all words is ever sent to a task.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portalmeter.llm.words import Scratch
+from portalmeter.llm.words import Scratch, mix, text_bytes
 
 FREQUENT, CLASSES, SPELLINGS = 2048, 48, 16
-HIDDEN, WINDOW, LANES = 16, 24, 64
-CHUNK_CHARS = 8_000_000
-#: The share of training documents that the network learns from; counts are taken from all.
-TRAIN_RATE, ROUNDS, PASSES, STEP = 0.04, 2, 1, 0.1
-END = b"\n"
+HIDDEN, WINDOW, LANES = 16, 24, 128
+CHUNK_CHARS = 6_000_000
+#: Every round trains on its share of the training documents, so that all of them are read once in each pass.
+ROUNDS, PASSES, STEP = 2, 1, 0.1
+#: Parameters that are averaged in one group, so that no group grows with the corpus.
+FAN_IN = 32
+END = np.uint64(1)
+
+_IS_GAP = np.zeros(256, dtype=bool)
+_IS_GAP[[0x20, *range(0x09, 0x0E)]] = True
+_DIGIT, _BEYOND, _SIGN = 1, 2, 4
+_FLAGS = np.full(256, _SIGN, np.uint8)
+_FLAGS[ord("a") : ord("z") + 1] = 0
+_FLAGS[ord("0") : ord("9") + 1] = _DIGIT
+_FLAGS[0x80:] = _BEYOND
+#: A random factor for each place of a word; they come round after 256 places, with the turn mixed in.
+_FACTORS = np.random.default_rng(2).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def tokens(text: str | None) -> list[bytes]:
     """Words in lower case (A-Z only), then the end."""
     words = (text or "").encode().lower().split()
-    words.append(END)
+    words.append(b"\n")
     return words
 
 
-def spelling(word: bytes) -> int:
-    """A class for rare words by what their letters show: other scripts, signs, digits, length."""
-    if word.isalpha():
-        return min(len(word), 16) // 4
-    if max(word) < 128:
-        return 5 + (word[-1:].isalpha()) + 2 * any(c in word for c in b"0123456789")
-    return 9 + min((sum(word) if len(word) < 6 else word.count(0xC3)) % 7, 6)
+def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and spelling classes of the tokens of texts, end to end, and where each text's tokens end.
+
+    A key is a hash of the word; that of the end is ``END``. The spelling class of a word tells its length and whether
+    it has digits, letters beyond a-z, or other signs.
+    """
+    buf = np.frombuffer(b"\n".join([t.lower() for t in texts]) + b"\n", np.uint8)
+    text_ends = np.cumsum([len(t) + 1 for t in texts])
+    at = np.flatnonzero(~_IS_GAP[buf])
+    opens = np.flatnonzero(np.append(True, np.diff(at) > 1)) if len(at) else np.empty(0, np.int64)
+    owner = np.searchsorted(text_ends, at[opens], side="right")
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts)) + 1)
+    keys, spell = np.full(int(ends[-1]), END, np.uint64), np.zeros(int(ends[-1]), np.int8)
+    if len(opens):
+        size = np.diff(np.append(opens, len(at)))
+        place = np.arange(len(at)) - np.repeat(opens, size)
+        values = (buf[at].astype(np.uint64) + np.uint64(1) + ((place >> 8).astype(np.uint64) << np.uint64(9))) * _FACTORS[place & 255]
+        flags = np.bitwise_or.reduceat(_FLAGS[buf[at]], opens)
+        kind = np.where(flags & _SIGN, 3, np.where(flags & _BEYOND, 2, flags & _DIGIT))
+        where = np.arange(len(opens)) + owner
+        keys[where] = np.maximum(mix(np.add.reduceat(values, opens) + size.astype(np.uint64)), END + np.uint64(1))
+        spell[where] = 4 * kind + np.minimum(size // 4, 3)
+    return keys, spell, ends
 
 
 # --- the network ---------------------------------------------------------------------------------------------
@@ -54,28 +83,47 @@ def spelling(word: bytes) -> int:
 class Vocabulary:
     """Frequent words in classes of about equal weight, and the counts that rare words are shared out by.
 
-    Ids 0.. are the frequent words in order of class; those after them stand for the classes of rare words.
+    Ids 0.. are the frequent words in order of class; those after them stand for the classes of rare words. ``words``
+    are pairs of key and count, ``rare`` the tokens and words of each spelling class that are not frequent.
     """
 
-    def __init__(self, words: list[tuple[bytes, int]], rare: dict[int, tuple[int, int]], total: int, distinct: int):
+    def __init__(self, words: list[tuple[int, int]], rare: dict[int, tuple[int, int]], total: int, distinct: int):
         self.total, self.distinct = total, distinct
         weight = np.sqrt([c for _, c in words] or [1])
         slot = np.minimum((np.cumsum(weight) - weight) / weight.sum() * CLASSES, CLASSES - 1).astype(int) if words else np.zeros(0, int)
-        self.words = {w: i for i, (w, _) in enumerate(words)}
-        self.counts = {w: c for w, c in words}
         self.edges = [int(x) for x in np.searchsorted(slot, np.arange(CLASSES + 1))]
         self.class_of = np.concatenate([slot, CLASSES + np.arange(SPELLINGS)]).astype(np.int64)
         self.rare = rare
         self.n = len(words)
+        self.counts = np.array([c for _, c in words], np.int64)
+        keys = np.array([k for k, _ in words], np.uint64)
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
         unigram = np.array([c for _, c in words] + [rare.get(s, (0, 0))[0] + 1.0 for s in range(SPELLINGS)])
         mass = np.bincount(self.class_of, unigram, CLASSES + SPELLINGS)
         self.class_bias = np.log(np.maximum(mass, 0.5) / max(mass.sum(), 1)).astype(np.float32)
         self.word_bias = np.log(unigram[: self.n] / mass[slot]).astype(np.float32) if words else np.zeros(0, np.float32)
 
-    def rare_log(self, word: bytes, count: int) -> float:
-        """The natural logarithm of a rare word's share within its class."""
-        n, v = self.rare.get(spelling(word), (0, 0))
-        return math.log((count + 0.1) / (n + 0.1 * (v + 1)))
+    def frequent(self, keys: np.ndarray) -> np.ndarray:
+        """The ids of keys, -1 for rare words."""
+        if not self.n:
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), self.n - 1)
+        return np.where(self.keys[at] == keys, self.order[at], -1)
+
+    def ids(self, keys: np.ndarray, spell: np.ndarray) -> np.ndarray:
+        found = self.frequent(keys)
+        return np.where(found >= 0, found, self.n + spell)
+
+    @property
+    def start(self) -> int:
+        """What is read before the first word: the end of a text."""
+        return int(self.ids(np.array([END]), np.zeros(1, np.int64))[0])
+
+    def rare_log(self, spell: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The natural logarithms of rare words' shares within their classes."""
+        n, v = (np.array([self.rare.get(s, (0, 0))[i] for s in range(SPELLINGS)], np.float64) for i in (0, 1))
+        return np.log((counts + 0.1) / (n + 0.1 * (v + 1))[spell])
 
 
 def shapes(n: int) -> dict[str, tuple[int, ...]]:
@@ -250,120 +298,172 @@ def _unpack(flat: np.ndarray, n: int) -> dict[str, np.ndarray]:
 
 # --- Spark ---------------------------------------------------------------------------------------------------
 
+_CHUNK = pa.schema(
+    [("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("has_id", pa.list_(pa.bool_())), ("held", pa.list_(pa.bool_())), ("ends", pa.list_(pa.int32())), ("ids", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())),
+     ("spell", pa.list_(pa.int8())), ("n", pa.list_(pa.int32()))]
+)
+_CHUNK_DDL = "chunk long, doc_id array<long>, has_id array<boolean>, held array<boolean>, ends array<int>, ids array<int>, keys array<long>, spell array<tinyint>, n array<int>"
+
+
+def _chunks(chunk_chars: int):
+    """Documents (doc_id, held_out, text) as chunks: their words by number, and the words with their training counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, number = TaskContext.get().partitionId() << 32, 0
+        held: list[tuple] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            doc_id, held_out, keys, spell = zip(*held, strict=True)
+            ends = np.cumsum([len(k) for k in keys])
+            every = np.concatenate(keys)
+            unique, first, ids = np.unique(every, return_index=True, return_inverse=True)
+            learnt = np.repeat(~np.array(held_out), [len(k) for k in keys])
+            n = np.bincount(ids[learnt], minlength=len(unique))
+            row = [base + number, [i or 0 for i in doc_id], [i is not None for i in doc_id], held_out, ends, ids, unique.view(np.int64), np.concatenate(spell)[first], n]
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                texts = list(text_bytes(part.column(2)))
+                keys, spell, ends = hashed(texts)
+                cuts = ends[:-1]
+                held += zip(part.column(0).to_pylist(), part.column(1).to_pylist(), np.split(keys, cuts), np.split(spell, cuts), strict=True)
+                size += sum(map(len, texts))
+                if size >= chunk_chars:
+                    yield out()
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield out()
 
-def _local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and how often they stand in training texts, added up within the task."""
-    counts: Counter = Counter()
+    return run
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of chunks (keys, spell, n) that stand in training texts."""
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(tokens(text.as_py()))
-        if len(counts) > 500_000:
-            yield out()
-            counts = Counter()
-    if counts:
-        yield out()
+        keys, spell, n = (c.flatten().to_numpy(zero_copy_only=False) for c in batch.columns)
+        seen = n > 0
+        yield pa.RecordBatch.from_arrays([pa.array(keys[seen]), pa.array(spell[seen].astype(np.int32)), pa.array(n[seen].astype(np.int64))], names=["key", "spell", "n"])
 
 
 _BLOCK = 8192
+_PARTS = "member long, block int, weight double, values array<float>"
 
 
 def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     total = sum(np.asarray(v, np.float64) * w for v, w in zip(pdf["values"], pdf["weight"], strict=True))
-    return pd.DataFrame({"block": [pdf["block"].iloc[0]], "salt": [0], "weight": [pdf["weight"].sum()], "values": [(total / pdf["weight"].sum()).astype(np.float32)]})
+    weight = pdf["weight"].sum()
+    return pd.DataFrame({"member": [pdf["member"].iloc[0] // FAN_IN], "block": [pdf["block"].iloc[0]], "weight": [weight], "values": [(total / weight).astype(np.float32)]})
+
 
+def train_model(chunks: DataFrame, vocabulary: Vocabulary, scratch: Scratch, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters after ``rounds`` over the training documents of chunks, each document in one of them.
 
-def train_model(docs: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, rate: float = TRAIN_RATE) -> np.ndarray:
-    """Parameters after ``rounds`` in which every chunk of docs (chunk, doc_id, text) trains from their mean."""
+    In a round every task goes on from the mean of the round before, over its chunks one after another, and gives back
+    one set of parameters. These are averaged by the tokens they have seen, in a tree of groups of FAN_IN.
+    """
     flat = _pack(initial(vocabulary))
     if not vocabulary.n:
         return flat
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(10_000)) < int(rate * 10_000))
-    send = docs.sparkSession.sparkContext.broadcast
+    send = chunks.sparkSession.sparkContext.broadcast
     held = send(vocabulary)
 
-    def trained_from(now):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            v = held.value
-            ids = [np.array([v.words.get(w, v.n + spelling(w)) for w in tokens(t)]) for t in pdf["text"]]
-            new = _pack(train_documents(_unpack(now.value, v.n), v, ids, v.words.get(END, v.n)))
-            parts = np.array_split(new, max(1, len(new) // _BLOCK))
-            size = float(sum(map(len, ids)))
-            return pd.DataFrame({"block": range(len(parts)), "salt": int(pdf["chunk"].iloc[0]) % 32, "weight": size, "values": parts})
+    def trained_from(now, turn: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            v, p, size = held.value, _unpack(now.value, held.value.n), 0
+            for batch in batches:
+                for row in _rows(batch):
+                    every = v.ids(row["keys"].view(np.uint64), row["spell"].astype(np.int64))[row["ids"]]
+                    documents = np.split(every, row["ends"][:-1])
+                    mine = [d for i, (d, out) in enumerate(zip(documents, row["held"], strict=True)) if not out and i % rounds == turn]
+                    if mine:
+                        p = train_documents(p, v, mine, v.start)
+                        size += sum(map(len, mine))
+            if size:
+                parts = np.array_split(_pack(p), max(1, len(now.value) // _BLOCK))
+                n = len(parts)
+                columns = [pa.array([TaskContext.get().partitionId()] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([float(size)] * n), pa.array(parts, pa.list_(pa.float32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["member", "block", "weight", "values"])
 
         return run
 
-    for _ in range(rounds):
-        schema = "block int, salt int, weight double, values array<float>"
-        trained = sample.groupBy("chunk").applyInPandas(trained_from(send(flat)), schema)
-        mean = trained.groupBy("block", "salt").applyInPandas(_average, schema).groupBy("block").applyInPandas(_average, schema)
+    for turn in range(rounds):
+        learnt = chunks.select("held", "ends", "ids", "keys", "spell").mapInArrow(trained_from(send(flat), turn), _PARTS)
+        trained = scratch.save(learnt, f"trained-{turn}")
+        members = (trained.agg(F.max("member")).first()[0] or 0) + 1
+        mean = trained
+        for _ in range(max(1, math.ceil(math.log(members, FAN_IN)) if members > 1 else 1)):
+            mean = mean.groupBy("block", F.floor(F.col("member") / FAN_IN)).applyInPandas(_average, _PARTS)
         rows = mean.orderBy("block").select("values").collect()
-        if not rows:
-            return flat
-        flat = np.concatenate([np.asarray(r[0], np.float32) for r in rows])
+        scratch.drop(f"trained-{turn}")
+        if rows:
+            flat = np.concatenate([np.asarray(r[0], np.float32) for r in rows])
     return flat
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
+    """The rows of lists in a batch, as arrays."""
+    for i in range(batch.num_rows):
+        yield {name: batch.column(name)[i].values.to_numpy(zero_copy_only=False) for name in batch.schema.names}
+
+
 def lm_scores(docs: DataFrame, scratch: Scratch, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs (doc_id, text, ...).
 
     Rows whose crc32 of the doc_id's text is divisible by 10 are held out: nothing is learnt from them. Scores are
     sums of log10 of probabilities over all tokens of the whole text, its end included. A null text counts as empty;
-    a null doc_id is not held out; repeated rows are scored, and counted, each. Other columns are ignored.
+    a null doc_id is not held out; repeated rows are scored, and counted, each. No rows give none. Other columns are
+    ignored.
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    chars = plain.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    chunks = max(1, math.ceil(chars / chunk_chars))
-    plain = plain.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
-
-    local = plain.where(~F.col("held_out")).select("text").mapInArrow(_local_counts, "word binary, n long")
-    counts = scratch.save(local.groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    top = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
-    kind = F.udf(lambda w: spelling(w), "int")
-    least = top[-1] if top else (b"", 0)
-    below = counts.where((F.col("c") < least[1]) | (F.col("c") == least[1]) & (F.col("word") > F.lit(bytearray(least[0]))))
-    rare = {r["s"]: (r["n"], r["v"]) for r in below.groupBy(kind("word").alias("s")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
+    chunks = scratch.save(plain.mapInArrow(_chunks(chunk_chars), _CHUNK_DDL), "chunks")
+
+    local = chunks.select("keys", "spell", "n").mapInArrow(_word_counts, "key long, spell int, n long")
+    counts = scratch.save(local.groupBy("key").agg(F.max("spell").alias("spell"), F.sum("n").alias("c")), "counts")
+    top = counts.orderBy(F.desc("c"), "key").limit(FREQUENT).collect()
+    least = (top[-1]["c"], top[-1]["key"]) if top else (0, 0)
+    below = counts.where((F.col("c") < least[0]) | (F.col("c") == least[0]) & (F.col("key") > least[1]))
+    rare = {r["spell"]: (r["n"], r["v"]) for r in below.groupBy("spell").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     whole = counts.agg(F.sum("c"), F.count("*")).first()
-    vocabulary = Vocabulary(top, rare, whole[0] or 0, whole[1])
-    flat = train_model(plain.where(~F.col("held_out")), vocabulary)
+    vocabulary = Vocabulary([(r["key"] % 2**64, r["c"]) for r in top], rare, whole[0] or 0, whole[1])
+    flat = train_model(chunks, vocabulary, scratch)
     send = docs.sparkSession.sparkContext.broadcast
     held, parameters = send(vocabulary), send(flat)
 
-    def own_words(pdf: pd.DataFrame) -> pd.DataFrame:
-        known = held.value.words
-        seen: set = set()
-        for text in pdf["text"]:
-            seen.update(tokens(text))
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[0], "word": [w for w in seen if w not in known]})
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, keys in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = keys.values.to_numpy()
+                at = np.flatnonzero(held.value.frequent(keys.view(np.uint64)) < 0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk)), pa.array(at.astype(np.int32)), pa.array(keys[at])], names=["chunk", "place", "key"])
 
-    wanted = plain.groupBy("chunk").applyInPandas(own_words, "chunk int, word binary")
-    found = wanted.join(counts, "word").select("chunk", "word", "c")
+    wanted = chunks.select("chunk", "keys").mapInArrow(rare_words, "own long, place int, key long")
+    found = wanted.join(counts.select("key", "c"), "key").select("own", "place", "c")
 
-    def score(docs_of: pd.DataFrame, counts_of: pd.DataFrame) -> pd.DataFrame:
-        v = held.value
+    def score(chunk: pd.DataFrame, counts_of: pd.DataFrame) -> pd.DataFrame:
+        v, row = held.value, chunk.iloc[0]
         p = _unpack(parameters.value, v.n)
-        rare_counts = dict(zip(counts_of["word"], counts_of["c"], strict=True))
-        bottom = math.log(v.total + 0.1 * (v.distinct + 1))
-        # Words of the chunk by number, and what there is to know of each.
-        numbers: dict[bytes, int] = {}
-        texts = [np.array([numbers.setdefault(w, len(numbers)) for w in tokens(t)]) for t in docs_of["text"]]
-        ids_of = np.array([v.words.get(w, -1) for w in numbers])
-        known_of = np.array([v.counts[w] if i >= 0 else int(rare_counts.get(w, 0)) for w, i in zip(numbers, ids_of, strict=True)])
-        within_of = np.array([0.0 if i >= 0 else v.rare_log(w, c) for w, i, c in zip(numbers, ids_of, known_of, strict=True)])
-        ids_of = np.array([v.n + spelling(w) if i < 0 else i for w, i in zip(numbers, ids_of, strict=True)])
-        base_of = np.log(known_of + 0.1) - bottom
-        ids = [ids_of[t] for t in texts]
-        rows = [(len(t), int((known_of[t] > 0).sum()), base_of[t].sum(), within_of[t].sum()) for t in texts]
-        log = score_documents(p, v, ids, v.words.get(END, v.n))
-        n, known, base, within = (np.array(x) for x in zip(*rows, strict=True))
+        keys, spell, texts, ends = row["keys"].view(np.uint64), row["spell"].astype(np.int64), row["ids"], row["ends"]
+        frequent = v.frequent(keys)
+        is_rare = frequent < 0
+        known = np.zeros(len(keys), np.int64)
+        known[~is_rare] = v.counts[frequent[~is_rare]]
+        if len(counts_of):
+            known[counts_of["place"].to_numpy()] = counts_of["c"].to_numpy()
+        within = np.where(is_rare, v.rare_log(spell, known), 0.0)
+        base = np.log(known + 0.1) - math.log(v.total + 0.1 * (v.distinct + 1))
+        begins = np.append(0, ends[:-1])
+        sums = lambda values: np.add.reduceat(values[texts], begins)
+        log = score_documents(p, v, np.split(v.ids(keys, spell)[texts], ends[:-1]), v.start)
         return pd.DataFrame(
-            {"doc_id": docs_of["doc_id"].astype("Int64"), "held_out": docs_of["held_out"], "n_tokens": n, "n_known": known, "train_tokens": v.total, "base_score": base / math.log(10), "score": (log + within) / math.log(10)}
-        )
+            {"doc_id": pd.arrays.IntegerArray(np.array(row["doc_id"], np.int64), ~row["has_id"].astype(bool)),
+             "held_out": row["held"].astype(bool), "n_tokens": ends - begins, "n_known": sums((known > 0).astype(np.int64)), "train_tokens": v.total,
+             "base_score": sums(base) / math.log(10), "score": (log + sums(within)) / math.log(10)}
+        )
 
-    sides = plain.groupBy("chunk").cogroup(found.select(F.col("chunk").alias("own"), "word", "c").groupBy("own"))
+    sides = chunks.select("chunk", "doc_id", "has_id", "held", "ends", "ids", "keys", "spell").groupBy("chunk").cogroup(found.groupBy("own"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return sides.applyInPandas(score, schema)

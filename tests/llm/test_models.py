@@ -30,20 +30,40 @@ def test_base_scores_and_probabilities(docs, scratch):
     expected = sorted(key(r[0], len(t), sum(c[w] > 0 for w in t), base(t)) for r in corpus() for t in [tokens[(r[0], r[1])]])
     assert sorted(map(key, got.doc_id, got.n_tokens, got.n_known, got.base_score)) == expected
     assert (got.train_tokens == n).all() and (got.score < 0).all()
+    assert rows_of(gated_lm.lm_scores(docs.limit(0), scratch)) == []
+
+
+def vocabulary_of(texts):
+    keys, spell, ends = gated_lm.hashed([t.encode() for t in texts])
+    unique, counts = np.unique(keys, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    v = gated_lm.Vocabulary([(int(unique[i]), int(counts[i])) for i in order], {}, len(keys), len(unique))
+    return v, np.split(v.ids(keys, spell.astype(np.int64)), ends[:-1])
+
+
+def test_tokens_are_told_by_keys():
+    texts = ["", "a B  c", " a\tb\nC ", "\u00c4 b 12 c!", "x" * 5000 + " " + "x" * 4999 + "y", "c b a", "abcdefghijklmnop \u4e2d"]
+    keys, spell, ends = gated_lm.hashed([t.encode() for t in texts])
+    parts = np.split(keys, ends[:-1])
+    assert [len(p) for p in parts] == [len(gated_lm.tokens(t)) for t in texts] and all(p[-1] == gated_lm.END for p in parts)
+    assert list(parts[1]) == list(parts[2]) == [*parts[5][:3][::-1], gated_lm.END]
+    words = {w for t in texts for w in gated_lm.tokens(t)}
+    assert len(np.unique(keys)) == len(words)
+    assert list(np.split(spell, ends[:-1])[3][:4]) == [8, 0, 4, 12] and list(np.split(spell, ends[:-1])[6][:2]) == [3, 8]
+    # However texts are put together, a word has one key.
+    assert all(list(gated_lm.hashed([t.encode()])[0]) == list(p) for t, p in zip(texts, parts))
 
 
 def test_the_network_gives_probabilities_and_learns():
-    text = [list(b"abcab"), list(b"abcabcabc")] * 8
-    counts = Counter(bytes([x]) for t in text for x in t) + Counter({gated_lm.END: len(text)})
-    v = gated_lm.Vocabulary(counts.most_common(), {}, sum(counts.values()), len(counts))
-    ids = [np.array([v.words[bytes([x])] for x in t] + [v.words[gated_lm.END]]) for t in text]
-    p, start = gated_lm.initial(v), v.words[gated_lm.END]
-    # All words and the classes of rare ones together have probability 1.
+    v, ids = vocabulary_of(["a b c a b", "a b c a b c a b c"] * 8)
+    p, start = gated_lm.initial(v), v.start
+    # All words and the classes of rare ones together have probability 1, but for classes without a word.
     h = np.random.default_rng(1).standard_normal((1, gated_lm.HIDDEN)).astype(np.float32)
     every = np.arange(v.n + gated_lm.SPELLINGS)
     log, _ = gated_lm.log_outputs(p, v, np.repeat(h, len(every), axis=0), every)
-    empty = gated_lm.CLASSES - len(set(v.class_of[: v.n]))
-    assert abs(np.exp(log).sum() - 1) < 0.2 and empty >= 0
+    classes = gated_lm._log_softmax(h @ p["class_out"] + p["class_bias"])[0]
+    used = np.unique(v.class_of)
+    assert np.exp(log).sum() == pytest.approx(np.exp(classes[used]).sum(), abs=1e-5)
     before = gated_lm.score_documents(p, v, ids, start).sum()
     for _ in range(20):
         p = gated_lm.train_documents(p, v, ids, start, passes=3)
@@ -53,9 +73,30 @@ def test_the_network_gives_probabilities_and_learns():
     assert np.allclose(gated_lm.score_documents(p, v, ids[:1], start), after[:1], atol=1e-4)
 
 
+def test_the_state_is_carried_and_its_gradient_agrees_with_differences(monkeypatch):
+    v, ids = vocabulary_of(["a b c a b", "c b a a", "b"])
+    start, size = v.start, sum(map(len, ids))
+    start_p = {k: x.astype(np.float64) for k, x in gated_lm.initial(v).items()}
+    # One lane and one window over everything, and a step that is the gradient itself.
+    monkeypatch.setattr(gated_lm, "LANES", 1)
+    monkeypatch.setattr(gated_lm, "WINDOW", 1000)
+    seen = {}
+    monkeypatch.setattr(gated_lm.np, "clip", lambda g, *a, **k: seen.setdefault(len(seen), g.copy()))
+    gated_lm.train_documents(start_p, v, ids, start)
+    monkeypatch.undo()
+    grads = {k: seen[i] * size**0.5 for i, k in enumerate(start_p)}
+    total = lambda p: gated_lm.score_documents({k: x.astype(np.float64) for k, x in p.items()}, v, ids, start).sum()
+    for name, at in (("gates", (3, 5)), ("gates", (2, 20)), ("gates", (1, 40)), ("gate_bias", (7,)), ("inputs", (1, 40)), ("inputs", (2, 3))):
+        sides = []
+        for step in (1e-3, -1e-3):
+            moved = {k: x.copy() for k, x in start_p.items()}
+            moved[name][at] += step
+            sides.append(total(moved))
+        assert (sides[0] - sides[1]) / 2e-3 == pytest.approx(grads[name][at], abs=2e-3)
+
+
 def test_gradients_agree_with_differences():
-    counts = Counter({b"a": 5, b"b": 4, b"c": 3, gated_lm.END: 2})
-    v = gated_lm.Vocabulary(counts.most_common(), {}, 14, 4)
+    v, _ = vocabulary_of(["a a a a a b b b b c c c"])
     p = {k: x.astype(np.float64) for k, x in gated_lm.initial(v).items()}
     h, target = np.random.default_rng(0).standard_normal((6, gated_lm.HIDDEN)), np.array([0, 1, 2, 3, 0, 5])
     grad = {k: np.zeros_like(x) for k, x in p.items()}
