@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from portalmeter.llm.words import Scratch, mix, text_bytes
 
 FREQUENT, CLASSES, SPELLINGS = 2048, 48, 16
-HIDDEN, WINDOW, LANES = 16, 24, 128
+HIDDEN, WINDOW, LANES = 16, 24, 192
 CHUNK_CHARS = 6_000_000
 #: Every round trains on its share of the training documents, so that all of them are read once in each pass.
 ROUNDS, PASSES, STEP = 2, 1, 0.1
@@ -154,22 +154,29 @@ def _step(read: np.ndarray, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarra
     return h + update * (new - h), update, reset, new, back[:, 2 * n :]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The logarithm of each row's probability at a place; the exponentials, and their sums, for gradients. Changes x."""
+    x -= x.max(axis=1, keepdims=True)
+    mine = x[np.arange(len(x)), at]
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    return mine - np.log(total), x, total
+
+
+def _down(e: np.ndarray, total: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The gradient of those logarithms, in place of the exponentials."""
+    e *= (-1 / total)[:, None]
+    e[np.arange(len(e)), at] += 1
+    return e
 
 
 def log_outputs(p: dict[str, np.ndarray], v: Vocabulary, h: np.ndarray, target: np.ndarray, grad: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """The log-probability of each target after each state; with ``grad`` also adds gradients and gives those of h."""
     classes = v.class_of[target]
-    rows = np.arange(len(target))
-    log = _log_softmax(h @ p["class_out"] + p["class_bias"])
-    out = log[rows, classes].copy()
+    out, e, total = _softmax(h @ p["class_out"] + p["class_bias"], classes)
     back = None
     if grad is not None:
-        d = -np.exp(log)
-        d[rows, classes] += 1
+        d = _down(e, total, classes)
         grad["class_out"] += h.T @ d
         grad["class_bias"] += d.sum(axis=0)
         back = d @ p["class_out"].T
@@ -180,13 +187,11 @@ def log_outputs(p: dict[str, np.ndarray], v: Vocabulary, h: np.ndarray, target:
         if hi - lo < 2:
             continue
         mine = order[cuts[c] : cuts[c + 1]]
-        states = h[mine]
-        log = _log_softmax(states @ p["word_out"][lo:hi].T + p["word_bias"][lo:hi])
-        at = np.arange(len(mine))
-        out[mine] += log[at, target[mine] - lo]
+        states, word = h[mine], target[mine] - lo
+        log, e, total = _softmax(states @ p["word_out"][lo:hi].T + p["word_bias"][lo:hi], word)
+        out[mine] += log
         if grad is not None:
-            d = -np.exp(log)
-            d[at, target[mine] - lo] += 1
+            d = _down(e, total, word)
             grad["word_out"][lo:hi] += d.T @ states
             grad["word_bias"][lo:hi] += d.sum(axis=0)
             back[mine] += d @ p["word_out"][lo:hi]
@@ -227,6 +232,13 @@ def score_documents(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.
     return out
 
 
+def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds each row to the row of the table it belongs to."""
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(at[order]) != 0))
+    table[at[order][first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
 def train_documents(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.ndarray], start: int, passes: int = PASSES) -> dict[str, np.ndarray]:
     """Parameters after some passes over documents: backpropagation through WINDOW words at a time.
 
@@ -272,7 +284,7 @@ def train_documents(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.
                 grad["gates"] += before.T @ inner
                 carried = np.where(first[:, None], np.float32(0), d * (1 - update) + inner @ p["gates"].T)
             outer = np.concatenate(outers)
-            np.add.at(grad["inputs"], np.concatenate(places), outer)
+            _add_rows(grad["inputs"], np.concatenate(places), outer)
             grad["gate_bias"] += outer.sum(axis=0)
             for k, g in grad.items():
                 g /= max(1, int(keep.sum())) ** 0.5
@@ -435,13 +447,16 @@ def lm_scores(docs: DataFrame, scratch: Scratch, chunk_chars: int = CHUNK_CHARS)
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, keys in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys = keys.values.to_numpy()
-                at = np.flatnonzero(held.value.frequent(keys.view(np.uint64)) < 0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk)), pa.array(at.astype(np.int32)), pa.array(keys[at])], names=["chunk", "place", "key"])
+            for chunk, row in zip(batch.column(0).to_pylist(), _rows(batch.drop_columns(["chunk"])), strict=True):
+                at = np.flatnonzero(held.value.frequent(row["keys"].view(np.uint64)) < 0)
+                # A word's place in the chunk and its training count there, in one number.
+                packed = (at << 32) | row["n"][at].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk)), pa.array(packed), pa.array(row["keys"][at])], names=["own", "packed", "key"])
 
-    wanted = chunks.select("chunk", "keys").mapInArrow(rare_words, "own long, place int, key long")
-    found = wanted.join(counts.select("key", "c"), "key").select("own", "place", "c")
+    wanted = chunks.select("chunk", "keys", "n").mapInArrow(rare_words, "own long, packed long, key long")
+    # Most rare words stand in one chunk alone: the count it has itself is right.
+    other = wanted.join(counts.select("key", "c"), "key").where(F.col("c") != F.col("packed").bitwiseAND(F.lit(2**32 - 1)))
+    found = other.select("own", F.shiftright("packed", 32).cast("int").alias("place"), "c")
 
     def score(chunk: pd.DataFrame, counts_of: pd.DataFrame) -> pd.DataFrame:
         v, row = held.value, chunk.iloc[0]
@@ -449,7 +464,7 @@ def lm_scores(docs: DataFrame, scratch: Scratch, chunk_chars: int = CHUNK_CHARS)
         keys, spell, texts, ends = row["keys"].view(np.uint64), row["spell"].astype(np.int64), row["ids"], row["ends"]
         frequent = v.frequent(keys)
         is_rare = frequent < 0
-        known = np.zeros(len(keys), np.int64)
+        known = row["n"].astype(np.int64)
         known[~is_rare] = v.counts[frequent[~is_rare]]
         if len(counts_of):
             known[counts_of["place"].to_numpy()] = counts_of["c"].to_numpy()
@@ -464,6 +479,6 @@ def lm_scores(docs: DataFrame, scratch: Scratch, chunk_chars: int = CHUNK_CHARS)
              "base_score": sums(base) / math.log(10), "score": (log + sums(within)) / math.log(10)}
         )
 
-    sides = chunks.select("chunk", "doc_id", "has_id", "held", "ends", "ids", "keys", "spell").groupBy("chunk").cogroup(found.groupBy("own"))
+    sides = chunks.select("chunk", "doc_id", "has_id", "held", "ends", "ids", "keys", "spell", "n").groupBy("chunk").cogroup(found.groupBy("own"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return sides.applyInPandas(score, schema)
