@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from portalmeter.llm.ball_tree import top_inner_products
 from portalmeter.llm.containment import contained_items
 from portalmeter.llm.conversation_repair import SUMMARY, damaged, repair_conversations, text_digests
@@ -18,6 +17,7 @@ from portalmeter.llm.fill_in_middle import fill_in_middle, restored
 from portalmeter.llm.gated_lm import lm_scores
 from portalmeter.llm.quality_rules import learn_quality, score_quality, with_statistics
 from portalmeter.llm.source_mix import mix_sources, taken_words
+from portalmeter.llm.stages import run
 from portalmeter.llm.substring_dedup import digest, remove_repeats
 from portalmeter.llm.toxic_spans import learn_toxicity, score_toxicity
 from portalmeter.llm.url_templates import judge_urls
@@ -115,4 +115,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
-LLM_QUERIES["pipeline"] = corpus_pipeline.run
+LLM_QUERIES["pipeline"] = run

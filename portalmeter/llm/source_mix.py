@@ -4,7 +4,8 @@ The documents of a source stand in a line in the order of a hash, again and agai
 line up to its target. The line is cut into blocks. Output shards are the leaves of a tree: at each node the blocks
 of every source are split between the two halves by a draw from the multivariate hypergeometric distribution, so
 each shard gets its exact number of blocks and every way of dealing them is as likely as in a full shuffle. A shard
-then draws its blocks of each source from a permutation, disjoint from the others', and orders its rows by a hash.
+then draws its blocks of each source from a keyed permutation, disjoint from the others', and orders its rows by a
+hash. The words that the mix takes are those of the blocks so dealt.
 
 Only expressions, no Python. The draws depend on a seed and their place in the tree, so reruns agree.
 """
@@ -61,8 +62,8 @@ def _log_factorial(n: Column) -> Column:
 def hypergeometric(total: Column, marked: Column, drawn: Column, uniform: Column) -> Column:
     """How many of ``drawn`` blocks out of ``total`` are among the ``marked``: the draw that a uniform number selects.
 
-    Outcomes are tried from the likeliest one outwards until their probabilities pass the number; beyond twelve
-    standard deviations there is nothing left to find at double precision.
+    Outcomes are tried from the likeliest one outwards until their probabilities pass the number. Beyond twelve standard
+    deviations they add nothing at double precision; a number that rounding keeps above all sums gives the last outcome.
     """
     choose = lambda n, k: _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
     low, high = F.greatest(F.lit(0).cast("long"), drawn - (total - marked)), F.least(marked, drawn)
@@ -84,7 +85,20 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, uniform: Column
     start = F.struct(
         top.alias("sum"), mode.alias("up"), top.alias("p_up"), mode.alias("down"), top.alias("p_down"), F.when(top > uniform, mode).otherwise(F.lit(-1).cast("long")).alias("out")
     )
-    return F.aggregate(steps, start, step, lambda s: F.when(s["out"] >= 0, s["out"]).otherwise(mode))
+    return F.aggregate(steps, start, step, lambda s: F.when(s["out"] >= 0, s["out"]).otherwise(F.least(s["up"], high)))
+
+
+def permuted(place: Column, size: Column, *key: Column, rounds: int = 40) -> Column:
+    """A place below ``size`` in a permutation that the key fixes: swap-or-not rounds, so any size is met exactly.
+
+    In a round a place and its mirror image about a hashed point change places, or do not, by a hash of the pair.
+    """
+
+    def one(x: Column, r: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(*key, r), size) - x, size)
+        return F.when(F.xxhash64(*key, r, F.greatest(x, other)) % 2 == 0, x).otherwise(other)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), place.cast("long"), one)
 
 
 def _split(counts: Column, room: Column, seed: int, lo: Column, hi: Column) -> Column:
@@ -154,7 +168,7 @@ def mix_sources(
     start = F.coalesce(F.sum("n").over(Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranges = leaves.withColumn("start", start).where("n > 0").join(sources.select("sid", "quota"), "sid")
     draw = ranges.select("sid", "shard", "quota", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("draw"))
-    dealt = draw.select("sid", "shard", F.pmod(F.col("draw") * 2147483647 + F.pmod(F.xxhash64(F.lit(seed), "sid"), F.lit(1 << 30)), F.col("quota")).alias("block"))
+    dealt = draw.select("sid", "shard", permuted(F.col("draw"), F.col("quota"), F.lit(seed), F.col("sid")).alias("block"))
 
     # Where each document stands in its source's line.
     row = sized.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -173,7 +187,16 @@ def mix_sources(
         "doc_id", "size", "source", "source_size", "target", F.struct("sid", "bucket", "n").alias("row"), "sid", "u", "p.copy", "p.n_words",
         F.when(F.col("p.n_words") > 0, F.floor(F.col("at") / block_words) + F.col("p.copy") * blocks(F.col("source_size"))).alias("block"),
     )
-    shuffled = piece_rows.join(dealt, ["sid", "block"], "left")
+    return in_shards(piece_rows, dealt, seed)
+
+
+def in_shards(pieces: DataFrame, dealt: DataFrame, seed: int) -> DataFrame:
+    """Pieces of documents in the shards that their blocks were dealt to (sid, block, shard), in a shuffled order each.
+
+    Words are taken through a dealt block only: a piece whose block no shard has gives none.
+    """
+    met = pieces.join(dealt, ["sid", "block"], "left")
+    shuffled = met.withColumn("n_words", F.when(F.col("shard").isNotNull(), F.col("n_words")).otherwise(F.lit(0).cast("long")))
     # Rows without a shard are not put in order; they are spread out.
     order = Window.partitionBy("shard", F.when(F.col("shard").isNull(), F.xxhash64("row"))).orderBy(F.xxhash64(F.lit(seed), "u", "copy"), "row")
     mixed = shuffled.withColumn("place", F.when(F.col("shard").isNotNull(), F.row_number().over(order)))
@@ -181,6 +204,10 @@ def mix_sources(
 
 
 def taken_words(mixed: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for each row of the documents that went into a mix."""
-    whole = mixed.groupBy("row").agg(*[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")], F.sum("n_words").alias("taken"))
+    """(doc_id, size, source_size, target, taken, parts) for each row of the documents that went into a mix.
+
+    ``parts`` says where its words went: shard, place in it, and how many words, a part for each time it is taken.
+    """
+    part = F.when(F.col("shard").isNotNull(), F.struct("copy", "shard", "place", "n_words"))
+    whole = mixed.groupBy("row").agg(*[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")], F.sum("n_words").alias("taken"), F.array_sort(F.collect_list(part)).alias("parts"))
     return whole.drop("row")

@@ -165,6 +165,31 @@ def test_mix(docs, scratch, shard_words):
     assert len(set(places)) == len(places) and all(s is not None for s, _ in places)
 
 
+def test_permutations_are_whole_and_not_rotations(spark):
+    from pyspark.sql import functions as F
+
+    for size in (1, 2, 6, 7, 151, 1000):
+        got = spark.range(size).select(source_mix.permuted(F.col("id"), F.lit(size).cast("long"), F.lit(7), F.lit(3)).alias("p")).orderBy("id").collect()
+        order = [r["p"] for r in got]
+        assert sorted(order) == list(range(size))
+        if size > 100:
+            assert len({(b - a) % size for a, b in zip(order, order[1:])}) > size / 3
+
+
+def test_a_shard_without_a_block_takes_nothing(spark, docs, scratch):
+    from pyspark.sql import functions as F
+
+    columns = "doc_id long, size long, source string, source_size long, target double, row struct<sid:long>, sid long, u long, copy int, n_words long, block long"
+    pieces = spark.createDataFrame([(i, 10, "a", 30, 30.0, (i,), 0, i, 0, 10, i) for i in range(3)], columns)
+    dealt = spark.createDataFrame([(0, 5, 0), (0, 6, 2)], "sid long, shard int, block long")
+    got = {r["doc_id"]: (r["shard"], r["n_words"]) for r in source_mix.in_shards(pieces, dealt, 7).collect()}
+    assert got == {0: (5, 10), 1: (None, 0), 2: (6, 10)}
+    # What a document gives is what its parts give.
+    taken = source_mix.taken_words(source_mix.mix_sources(docs, scratch, block_words=64, shard_words=4000))
+    off = taken.where(F.col("taken") != F.aggregate("parts", F.lit(0).cast("long"), lambda a, p: a + p["n_words"]))
+    assert off.count() == 0 and taken.where("size(parts) > 1").count() > 0
+
+
 def test_hypergeometric_draws_have_the_right_mean_and_spread(spark):
     from pyspark.sql import functions as F
 
