@@ -156,23 +156,23 @@ def resolve_resource(
 ) -> DataFrame:
     """Add the file's id and format, and its dataset, organisation and publisher.
 
-    A file is the first of its dataset, by position, stored under any spelling of the address. Per dataset and
-    address only the first file can win, so the catalogue shrinks to that before the join and each spelling meets
-    at most one row. A match does not depend on the month or the page: distinct pairs of dataset and address are
-    spelled out and matched, rows without a dataset never. ``hits`` is read twice, so it should be a stored table.
+    A file is the first of its dataset, by position, stored under any spelling of the address. ``hits`` has one row per
+    month, address and page, as ``resource_hits`` gives it, and is read once. Per dataset and address only the first
+    file can win, so the catalogue shrinks to that before the join and each spelling meets at most one row.
     """
+    row_key = ("url", "package_url", "year_month")
     first_files = (
         resource.where(F.coalesce("state", F.lit("")) != "deleted")
         .groupBy("package_id", F.col("url").alias("spelling"))
         .agg(F.min(F.struct("position", F.col("id").alias("resource_id"), "format")).alias("file"))
     )
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
-    pairs = pages.where(F.col("package_id").isNotNull()).select("package_id", "url").distinct()
     # The outer form: the plain one would make Spark test the array's size early, at the price of building it twice.
-    candidates = with_spellings(pairs, "url", "spellings").withColumn("spelling", F.explode_outer("spellings"))
-    matched = candidates.join(first_files, ["package_id", "spelling"])
-    best = matched.groupBy("package_id", "url").agg(F.min("file").alias("file"))
-    return pages.join(best, ["package_id", "url"], "left").select(
+    candidates = with_spellings(pages, "url", "spellings").withColumn("spelling", F.explode_outer("spellings"))
+    matched = candidates.join(first_files, ["package_id", "spelling"], "left")
+    carried = [c for c in (*hits.columns, *PACKAGE_FIELDS) if c not in row_key]
+    best = matched.groupBy(*row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])
+    return best.select(
         *hits.columns,
         F.col("file.resource_id").alias("resource_id"),
         *PACKAGE_FIELDS,

@@ -37,9 +37,9 @@ def resolved_pages(counted: DataFrame, catalogue: Tables, cfg: PortalConfig, sta
 
 
 def resolved_files(counted: DataFrame, catalogue: Tables, cfg: PortalConfig, staging: Staging) -> DataFrame:
-    """Counted events with what the catalogue knows of them, stored; the counts are stored first, being read twice."""
+    """Counted events with what the catalogue knows of them, stored, as for pages."""
     tables = [catalogue[name] for name in ("package", "resource", "package_extra", "group")]
-    return staging.save(resolve_resource(staging.save(counted), *tables, cfg))
+    return staging.save(resolve_resource(counted, *tables, cfg))
 
 
 def package_rows(

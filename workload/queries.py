@@ -291,8 +291,7 @@ def _resolved_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _resolved_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir, "file_hits", "package", "resource", "package_extra", "group")
-    counted = _staging(spark).save(t["file_hits"])
-    return identity.resolve_resource(counted, t["package"], t["resource"], t["package_extra"], t["group"], CONFIG)
+    return identity.resolve_resource(t["file_hits"], t["package"], t["resource"], t["package_extra"], t["group"], CONFIG)
 
 
 @query
