@@ -43,4 +43,6 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError("the links did not settle into components")
     return star.select(F.col("u").alias("node"), F.col("v").alias("root")).union(star.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
