@@ -24,6 +24,28 @@ LLM_ORACLE_SQL: dict[str, str] = {
         FROM shared JOIN (SELECT item_id, count(*) AS m FROM item_run GROUP BY ALL) USING (item_id)
         WHERE k / m >= 0.8 - 1e-9
     """,
+    "op6_substring_dedup": """
+        WITH doc AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), run AS (
+            SELECT doc_id, i, sha256(array_to_string(w[i : i + 19], ' ')) AS h
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM doc)
+        ), later AS (
+            SELECT doc_id, i FROM run JOIN (SELECT h, min({'d': doc_id, 'i': i}) AS first FROM run GROUP BY h HAVING count(*) > 1) USING (h)
+            WHERE {'d': doc_id, 'i': i} <> first
+        ), gone AS (
+            SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later) GROUP BY doc_id
+        ), word AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM doc SEMI JOIN gone USING (doc_id)
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept
+            FROM word ANTI JOIN (SELECT doc_id, unnest(gone) AS p FROM gone) USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+            sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+        FROM doc LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
     "op8_ball_tree": """
         WITH good AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portalmeter.llm.words import mix, text_bytes, window_hashes, word_hashes
@@ -24,6 +24,8 @@ from portalmeter.llm.words import mix, text_bytes, window_hashes, word_hashes
 THRESHOLD, SEED = 20, 6
 #: Rows held in a task before those that are equal are joined and the rest sent on.
 HELD = 1_000_000
+#: Digits of a fingerprint that tell apart the stretches in which the texts of one doc_id are numbered.
+STRETCH = 4
 
 _PART = 1 << 32
 
@@ -55,11 +57,15 @@ def numbered(docs: DataFrame) -> DataFrame:
     plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     if not odd:
         return plain.select("doc", F.lit(0).alias("part"), "text")
-    # The place of a text among those of its document, from their fingerprints alone.
+    # The place of a text among those of its document, from their fingerprints alone: those of the stretches before its
+    # own, and those before it in its stretch. So neither pairs nor all texts of a document meet.
     marks = plain.select("doc", F.md5("text").alias("mark")).distinct()
-    marks = marks.join(marks.groupBy("doc").count().where("count > 1").select("doc"), "doc", "left_semi")
-    low, high = marks.select("doc", F.col("mark").alias("low")), marks
-    ranks = high.join(low, "doc").where("low < mark").groupBy("doc", "mark").agg(F.count("*").cast("int").alias("part"))
+    marks = marks.join(marks.groupBy("doc").count().where("count > 1").select("doc"), "doc", "left_semi").withColumn("stretch", F.substring("mark", 1, STRETCH))
+    sizes = marks.groupBy("doc", "stretch").agg(F.count("*").alias("size"))
+    earlier = Window.partitionBy("doc").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("doc", "stretch", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    inside = marks.withColumn("inside", F.row_number().over(Window.partitionBy("doc", "stretch").orderBy("mark")))
+    ranks = inside.join(before, ["doc", "stretch"]).select("doc", "mark", (F.col("before") + F.col("inside") - 1).cast("int").alias("part"))
     keyed = plain.withColumn("mark", F.md5("text")).dropDuplicates(["doc", "mark"])
     return keyed.join(ranks, ["doc", "mark"], "left").select("doc", F.coalesce("part", F.lit(0)).alias("part"), "text")
 
@@ -213,12 +219,16 @@ def _later_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield _batch(["doc", "start", "length"], *_run_rows(doc[again], place[again]))
 
 
+def _part_of(place: str) -> Column:
+    return F.shiftright(place, 32).cast("int").alias("part")
+
+
 def repeated_windows(plain: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(doc, start, length): runs of windows that also start earlier."""
     seeds = plain.select("doc", "part", "text").mapInArrow(_seed_rows(threshold), "seed long, doc long, place long, state byte")
     shared = seeds.repartition("seed").sortWithinPartitions("seed").mapInArrow(_shared_seeds, "doc long, place long")
-    places = shared.groupBy("doc").agg(F.collect_list("place").alias("shared"))
-    around = plain.join(places.hint("shuffle_hash"), "doc").select("doc", "part", "text", "shared")
+    places = shared.groupBy("doc", _part_of("place")).agg(F.collect_list("place").alias("shared"))
+    around = plain.join(places.hint("shuffle_hash"), ["doc", "part"]).select("doc", "part", "text", "shared")
     windows = around.mapInArrow(_window_rows(threshold), "key long, more int, doc long, place long, length int")
     ordered = windows.repartition("key").sortWithinPartitions("key", "more", "doc", "place")
     return ordered.mapInArrow(_later_windows, "doc long, start long, length long")
@@ -265,8 +275,8 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, keep_gaps: bool
     loses nothing stays as it is. Null texts have no words. Other columns are ignored.
     """
     plain = numbered(docs).where("doc is not null")
-    found = repeated_windows(plain, threshold).groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
-    joined = plain.join(found.hint("shuffle_hash"), "doc", "left").select("doc", "part", "text", "starts", "lengths")
+    found = repeated_windows(plain, threshold).groupBy("doc", _part_of("start")).agg(F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths"))
+    joined = plain.join(found.hint("shuffle_hash"), ["doc", "part"], "left").select("doc", "part", "text", "starts", "lengths")
     kept = joined.mapInArrow(_removal(threshold, keep_gaps), "doc long, mark string, n_words long, n_removed long, kept_text string")
     return kept.select(F.nullif("doc", F.lit(2**63 - 1)).alias("doc_id"), "mark", "n_words", "n_removed", "kept_text")
 

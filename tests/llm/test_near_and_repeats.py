@@ -98,6 +98,23 @@ def test_repeats(docs):
     assert sorted_rows(got) == repeats_by_hand(corpus())
 
 
+def test_repeats_in_many_texts_without_id(spark, monkeypatch):
+    # Numbered in stretches, not by pairs: each text of an id keeps its place, and only its own passages go.
+    from portalmeter.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "STRETCH", 1)
+    passage = prose(50, 30)
+    rows = [(None, f"{prose(100 + i, 5)} {passage if i % 3 else prose(900 + i, 30)} {prose(500 + i, 4)}") for i in range(300)]
+    rows += [(7, prose(2000 + i, 25)) for i in range(40)] + [(7, passage), (8, passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    plain = substring_dedup.numbered(df)
+    parts = sorted((r["doc"], r["part"]) for r in plain.collect())
+    assert parts == sorted([(2**63 - 1, i) for i in range(300)] + [(7, i) for i in range(41)] + [(8, 0)])
+    got = remove_repeats(df).select("doc_id", "n_words", "n_removed", digest("kept_text"))
+    assert sorted_rows(got) == repeats_by_hand(rows)
+    assert rows_of(remove_repeats(df.limit(0))) == []
+
+
 def test_containment(spark, docs, scratch):
     text = {r[0]: r[1] for r in corpus()}
     passage = text[6].split()[50:75]
