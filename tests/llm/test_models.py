@@ -15,7 +15,7 @@ from portalmeter.llm import edit_counts, gated_lm, source_mix
 from portalmeter.llm.ball_tree import top_inner_products
 from portalmeter.llm.dom_marginals import extract_main_text, labelled_pages, main_text, marginals, Page, features, train
 from portalmeter.llm.quality_rules import STATISTICS, fit_rules, learn_quality, score_quality, with_statistics
-from portalmeter.llm.url_templates import judge_urls
+from portalmeter.llm.url_templates import judge_urls, template_purities
 
 
 def test_base_scores_and_probabilities(docs, scratch):
@@ -244,6 +244,67 @@ def test_templates_follow_their_labels(spark, scratch):
     assert free and all(r["template"].endswith("/*") and r["verdict"] == ("block" if "/ads/" in r["path"] else "allow") for r in free)
 
 
+def purities_by_hand(units):
+    """Template and purity of (host, segments): (n, blocked, labelled), by walking the tree of each host."""
+    cut, share = {}, lambda b, n, s: (b + 4 * s) / (n + 4)
+    total = [sum(u[i] for u in units.values()) for i in (1, 2)]
+
+    def walk(node, done, above, count):
+        # node: {key: rest}; above: the purity of the node that they came from.
+        if len(set(node.values())) == 1:
+            return cut.update({k: ("/".join(done + r), above) for k, r in node.items()})
+        while all(node.values()) and len({r[0] for r in node.values()}) == 1:
+            done, node = done + next(iter(node.values()))[:1], {k: r[1:] for k, r in node.items()}
+        cut.update({k: ("/".join(done), above) for k, r in node.items() if not r})
+        seen = Counter()
+        for k, r in node.items():
+            if r:
+                seen[r[0]] += units[k][0]
+        literal = [n for s, n in seen.items() if s != "*"]
+        wide = len(literal) >= 8 and sum(literal) / len(literal) < 3
+        children = {}
+        for k, r in node.items():
+            if r:
+                children.setdefault("*" if wide and seen[r[0]] < 3 else r[0], {})[k] = r[1:]
+        sums, bands, alike = {}, {}, {}
+        for name, child in children.items():
+            b, n = sums[name] = [sum(units[k][i] for k in child) for i in (1, 2)]
+            mine, rest, all_ = (b + 1) / (n + 2), (count[0] - b + 1) / (count[1] - n + 2), (count[0] + 2) / (count[1] + 4)
+            if abs(mine - rest) / math.sqrt(all_ * (1 - all_) * (1 / (n + 2) + 1 / (count[1] - n + 2))) >= 1.96:
+                band = bands[name] = min(7, int(math.asin(math.sqrt(mine)) * 16 / math.pi))
+                alike[band] = [x + y for x, y in zip(alike.get(band, (0, 0)), (b, n))]
+        for name, child in children.items():
+            walk(child, (*done, name), share(*alike[bands[name]], above) if name in bands else above, sums[name])
+
+    for host in {h for h, _ in units}:
+        mine = {k: k[1] for k in units if k[0] == host}
+        count = [sum(units[k][i] for k in mine) for i in (1, 2)]
+        walk(mine, (), share(*count, share(*total, 0.5)), count)
+    return cut
+
+
+def test_template_trees_are_those_built_node_by_node(spark, scratch):
+    r = random.Random(4)
+    names = ["a", "b", "ads", "news", "*", "x1"]
+    units = {}
+    for _ in range(400):
+        kind = r.choice(["short", "long", "rare", "tail"])
+        deep = ["same"] * 40 + [r.choice(names) for _ in range(r.randint(0, 3))]
+        path = {"short": [r.choice(names) for _ in range(r.randint(0, 3))], "long": deep, "rare": ["id", f"k{r.random()}", r.choice(names)], "tail": [r.choice(names)] * r.randint(1, 9)}[kind]
+        labelled = r.randint(0, 30)
+        heavy = labelled if "ads" in path else r.randint(0, labelled)
+        units[(r.choice(["h", "g"]), tuple(path))] = (r.randint(1, 2) if kind == "rare" else labelled + 1, heavy, labelled)
+    units[("alone", ("p",) * 300)] = (1, 0, 0)
+    df = spark.createDataFrame([(h, list(p), *u) for (h, p), u in units.items()], "host string, segments array<string>, n long, blocked long, labelled long")
+    got = {(x["host"], tuple(x["segments"])): ("/".join(x["template"]), x["purity"]) for x in template_purities(df, scratch).collect()}
+    expected = purities_by_hand(units)
+    assert set(got) == set(expected) == set(units)
+    for key, (template, purity) in expected.items():
+        assert got[key][0] == template and got[key][1] == pytest.approx(purity)
+    assert sum("*" in t for t, _ in expected.values()) > 50 and max(t.count("/") for t, _ in expected.values()) > 40
+    assert len({round(p, 9) for _, p in expected.values()}) > 8
+
+
 def test_top_inner_products(spark, scratch):
     r = random.Random(2)
     rows = [(i, [float(r.choice([-0.5, 0.25, 0.125, 0.3])) for _ in range(6)]) for i in range(300)]
