@@ -45,13 +45,16 @@ def normalise_page_path(df: DataFrame, url_col: str, languages: Sequence[str]) -
 
 def decode_plus(value: Column) -> Column:
     """URL-decode with ``+`` as a space; a per cent sign that starts no escape stays."""
-    return F.url_decode(F.regexp_replace(value, "%(?![0-9A-Fa-f]{2})", "%25"))
+    decoded = F.url_decode(F.regexp_replace(value, "%(?![0-9A-Fa-f]{2})", "%25"))
+    # Most addresses have nothing to decode.
+    return F.when(value.contains("%") | value.contains("+"), decoded).otherwise(value)
 
 
 def repair_latin1(value: Column) -> Column:
     """Text that is UTF-8 read as Latin-1, put right; NULL where it is not that."""
     as_utf8 = F.try_validate_utf8(F.encode(value, "ISO-8859-1").cast("string"))
-    return F.when(value.rlike(r"^[\x00-\xFF]*\z"), as_utf8)
+    is_ascii = F.octet_length(value) == F.length(value)
+    return F.when(is_ascii, value).when(value.rlike(r"^[\x00-\xFF]*\z"), as_utf8)
 
 
 def with_spellings(df: DataFrame, url_col: str, out_col: str) -> DataFrame:

@@ -14,6 +14,13 @@ PACKAGE_FIELDS = ("package_name", "organization_id", "publisher_id")
 #: What an event on a file is told by.
 PAIR = ["url", "package_url"]
 RESOURCE_FIELDS = ("resource_id", "package_name", "organization_id", "publisher_id", "format")
+#: A number that goes before text keys. Addresses begin alike, so sorting by them alone compares them in full; with the
+#: number first, sorts of joins and aggregations mostly compare numbers. Equal numbers are still told apart by the keys.
+SPOT = "__spot"
+
+
+def _with_spot(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.withColumn(SPOT, F.xxhash64(*by))
 
 
 def _is_filled(column: str) -> Column:
@@ -90,14 +97,15 @@ def resolve_package(
 def _newest_identity(
     rows: DataFrame, by: list[str], fields: tuple[str, ...], wanted: DataFrame
 ) -> DataFrame:
-    """Per key, the fields of its newest month; among equals of one month, the smallest.
+    """Per key and its ``SPOT``, the fields of its newest month; among equals of one month, the smallest.
 
     ``wanted`` holds the only keys of interest: few of all the keys there ever were.
     """
-    rows = rows.join(wanted.select(*by).distinct(), by, "left_semi")
+    key = [SPOT, *by]
+    rows = _with_spot(rows, by).join(_with_spot(wanted.select(*by), by).distinct(), key, "left_semi")
     candidate = F.struct((-month_number(F.col("year_month"))).alias("age"), *fields)
-    newest = rows.groupBy(*by).agg(F.min(candidate).alias("newest"))
-    return newest.select(*by, *[F.col(f"newest.{name}").alias(f"past_{name}") for name in fields])
+    newest = rows.groupBy(*key).agg(F.min(candidate).alias("newest"))
+    return newest.select(*key, *[F.col(f"newest.{name}").alias(f"past_{name}") for name in fields])
 
 
 def _usable_packages() -> Column:
@@ -133,7 +141,7 @@ def backfill_package(
         usable = usable & (F.col("year_month") != period)
     lost = resolved.where(_lost_packages())
     past = _newest_identity(packages_fact.where(usable), ["url"], PACKAGE_FIELDS, lost)
-    return resolved.where(~_lost_packages()).union(_filled_packages(lost.join(past, "url", "left")).select(*resolved.columns))
+    return resolved.where(~_lost_packages()).union(_filled_packages(_with_spot(lost, ["url"]).join(past, [SPOT, "url"], "left")).select(*resolved.columns))
 
 
 def _filled_packages(rows: DataFrame) -> DataFrame:
@@ -169,9 +177,10 @@ def resolve_resource(
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
     # The outer form: the plain one would make Spark test the array's size early, at the price of building it twice.
     candidates = with_spellings(pages, "url", "spellings").withColumn("spelling", F.explode_outer("spellings"))
-    matched = candidates.join(first_files, ["package_id", "spelling"], "left")
+    file_key = ["package_id", "spelling"]
+    matched = _with_spot(candidates.drop("spellings"), file_key).join(_with_spot(first_files, file_key), [SPOT, *file_key], "left")
     carried = [c for c in (*hits.columns, *PACKAGE_FIELDS) if c not in row_key]
-    best = matched.groupBy(*row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])
+    best = _with_spot(matched, list(row_key)).groupBy(SPOT, *row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])
     return best.select(
         *hits.columns,
         F.col("file.resource_id").alias("resource_id"),
@@ -193,7 +202,7 @@ def backfill_resource(
         usable = usable & (F.col("year_month") != period)
     lost = resolved.where(_lost_resources())
     past = _newest_identity(resources_fact.where(usable), PAIR, RESOURCE_FIELDS, lost)
-    return resolved.where(~_lost_resources()).union(_filled_resources(lost.join(past, PAIR, "left")).select(*resolved.columns))
+    return resolved.where(~_lost_resources()).union(_filled_resources(_with_spot(lost, PAIR).join(past, [SPOT, *PAIR], "left")).select(*resolved.columns))
 
 
 # --- months loaded together ----------------------------------------------------------------------------------
