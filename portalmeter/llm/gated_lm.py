@@ -27,7 +27,7 @@ from portalmeter.llm.words import Scratch, mix, text_bytes
 
 FREQUENT, CLASSES, SPELLINGS = 2048, 48, 16
 HIDDEN, WINDOW, LANES = 16, 24, 192
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 9_000_000
 #: Every round trains on its share of the training documents, so that all of them are read once in each pass.
 ROUNDS, PASSES, STEP = 2, 1, 0.1
 #: Parameters that are averaged in one group, so that no group grows with the corpus.
@@ -139,8 +139,11 @@ def initial(vocabulary: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
     return out
 
 
-def _step(read: np.ndarray, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The next state from what the words read put in and the last state; also what the backward pass needs."""
+def _step(read: np.ndarray, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The next state from what the words read put in and the last state; also what the backward pass needs.
+
+    That is the update and reset gates side by side, the new content, and what the last state gives to it.
+    """
     n = HIDDEN
     back = h @ gates
     both = read[:, : 2 * n] + back[:, : 2 * n]
@@ -149,53 +152,76 @@ def _step(read: np.ndarray, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarra
     np.tanh(both, out=both)
     both += np.float32(1)
     both *= np.float32(0.5)
-    update, reset = both[:, :n], both[:, n:]
-    new = np.tanh(read[:, 2 * n :] + reset * back[:, 2 * n :])
-    return h + update * (new - h), update, reset, new, back[:, 2 * n :]
+    new = both[:, n:] * back[:, 2 * n :]
+    new += read[:, 2 * n :]
+    np.tanh(new, out=new)
+    step = new - h
+    step *= both[:, :n]
+    step += h
+    return step, both, new, back[:, 2 * n :]
+
+
+#: Exponentials of numbers below this fit into 32 bits, and so do sums of many of them.
+_SAFE = 70.0
 
 
-def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The logarithm of each row's probability at a place; the exponentials, and their sums, for gradients. Changes x."""
-    x -= x.max(axis=1, keepdims=True)
-    mine = x[np.arange(len(x)), at]
+def _softmax(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, safe: bool, grad: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """The logarithm of the probability of a place for each state; with ``grad`` also adds gradients and gives those of h.
+
+    ``safe`` tells that no sum of products can be so large that its exponential overflows. The factor that a row's
+    gradients have in common is put on the short side of each product.
+    """
+    x, rows = h @ weights, np.arange(len(h))
+    x += bias
+    if not safe:
+        x -= x.max(axis=1, keepdims=True)
+    mine = x[rows, at]
     np.exp(x, out=x)
-    total = x.sum(axis=1)
-    return mine - np.log(total), x, total
+    total = x @ np.ones(x.shape[1], x.dtype)
+    out = mine - np.log(total)
+    if grad is None:
+        return out, None
+    x[rows, at] -= total
+    share = (-1 / total)[:, None]
+    grad[0][...] += (h * share).T @ x
+    grad[1][...] += share[:, 0] @ x
+    back = x @ weights.T
+    back *= share
+    return out, back
 
 
-def _down(e: np.ndarray, total: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The gradient of those logarithms, in place of the exponentials."""
-    e *= (-1 / total)[:, None]
-    e[np.arange(len(e)), at] += 1
-    return e
+def _is_safe(reach: float, weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether sums of products with states whose parts are at most ``reach`` stay in bounds; states are rows."""
+    return bool(reach * np.abs(weights).sum(axis=0).max(initial=0) + np.abs(bias).max(initial=0) < _SAFE)
 
 
 def log_outputs(p: dict[str, np.ndarray], v: Vocabulary, h: np.ndarray, target: np.ndarray, grad: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """The log-probability of each target after each state; with ``grad`` also adds gradients and gives those of h."""
     classes = v.class_of[target]
-    out, e, total = _softmax(h @ p["class_out"] + p["class_bias"], classes)
-    back = None
-    if grad is not None:
-        d = _down(e, total, classes)
-        grad["class_out"] += h.T @ d
-        grad["class_bias"] += d.sum(axis=0)
-        back = d @ p["class_out"].T
-    order = np.argsort(classes, kind="stable")
-    cuts = np.searchsorted(classes[order], np.arange(CLASSES + 1))
+    # In order of class, so that each class is one stretch.
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    classes, target, h = classes[order], target[order], h.take(order, axis=0)
+    reach = float(np.abs(h).max(initial=0))
+    safe, sums = _is_safe(reach, p["class_out"], p["class_bias"]), grad and (grad["class_out"], grad["class_bias"])
+    log, back = _softmax(h, p["class_out"], p["class_bias"], classes, safe, sums)
+    cuts = np.searchsorted(classes, np.arange(CLASSES + 1))
+    safe = _is_safe(reach, p["word_out"].T, p["word_bias"])
     for c in np.flatnonzero(np.diff(cuts)):
         lo, hi = v.edges[c], v.edges[c + 1]
         if hi - lo < 2:
             continue
-        mine = order[cuts[c] : cuts[c + 1]]
-        states, word = h[mine], target[mine] - lo
-        log, e, total = _softmax(states @ p["word_out"][lo:hi].T + p["word_bias"][lo:hi], word)
-        out[mine] += log
+        mine = slice(cuts[c], cuts[c + 1])
+        more, d = _softmax(h[mine], p["word_out"][lo:hi].T, p["word_bias"][lo:hi], target[mine] - lo, safe, grad and (grad["word_out"][lo:hi].T, grad["word_bias"][lo:hi]))
+        log[mine] += more
         if grad is not None:
-            d = _down(e, total, word)
-            grad["word_out"][lo:hi] += d.T @ states
-            grad["word_bias"][lo:hi] += d.sum(axis=0)
-            back[mine] += d @ p["word_out"][lo:hi]
-    return out, back
+            back[mine] += d
+    out = np.empty_like(log)
+    out[order] = log
+    if grad is None:
+        return out, None
+    down = np.empty_like(back)
+    down[order] = back
+    return out, down
 
 
 def _columns(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,9 +242,9 @@ def score_documents(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.
     t = 0
     while t < sizes[0]:
         states, owners, targets, held = [], [], [], 0
-        while t < sizes[0] and held < 30_000 and len(states) < 512:
+        while t < sizes[0] and held < 8_000 and len(states) < 512:
             live = int(np.searchsorted(-sizes, -t, side="left"))
-            h = _step(inputs[last[:live]], p["gates"], h[:live])[0]
+            h = _step(inputs.take(last[:live], axis=0), p["gates"], h[:live])[0]
             last = flat[starts[:live] + t]
             states.append(h)
             owners.append(np.arange(live))
@@ -234,9 +260,10 @@ def score_documents(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.
 
 def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """Adds each row to the row of the table it belongs to."""
-    order = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.append(True, np.diff(at[order]) != 0))
-    table[at[order][first]] += np.add.reduceat(rows[order], first, axis=0)
+    order = np.argsort(at.astype(np.int16), kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    table[at[first]] += np.add.reduceat(rows.take(order, axis=0), first, axis=0)
 
 
 def train_documents(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.ndarray], start: int, passes: int = PASSES) -> dict[str, np.ndarray]:
@@ -258,39 +285,59 @@ def train_documents(p: dict[str, np.ndarray], v: Vocabulary, documents: list[np.
     there = at < len(flat)
     at = np.minimum(at, len(flat) - 1)
     for _ in range(passes):
-        h = np.zeros((lanes, n), np.float32)
+        h = np.zeros((lanes, n), p["gates"].dtype)
         for begin in range(0, length, WINDOW):
-            trace = []
-            for t in range(begin, min(begin + WINDOW, length)):
-                now = at[:, t]
-                before = np.where(fresh[now, None], np.float32(0), h)
-                h, update, reset, new, back = _step(p["inputs"][read[now]] + p["gate_bias"], p["gates"], before)
-                trace.append((before, read[now], update, reset, new, back, h, flat[now], there[:, t], fresh[now]))
+            now = np.ascontiguousarray(at[:, begin : begin + WINDOW].T)
+            steps, keep, starts = len(now), there[:, begin : begin + WINDOW].T.ravel(), fresh[now]
+            some, words = starts.any(axis=1), read[now].ravel()
+            put = p["inputs"].take(words, axis=0)
+            put += p["gate_bias"]
+            put = put.reshape(steps, lanes, 3 * n)
+            before, after, new, back = (np.empty((steps, lanes, n), h.dtype) for _ in range(4))
+            both = np.empty((steps, lanes, 2 * n), h.dtype)
+            for t in range(steps):
+                before[t] = h
+                if some[t]:
+                    before[t, starts[t]] = 0
+                h, both[t], new[t], back[t] = _step(put[t], p["gates"], before[t])
+                after[t] = h
             grad = {k: np.zeros_like(x) for k, x in p.items()}
-            keep = np.concatenate([x[8] for x in trace])
-            _, some = log_outputs(p, v, np.concatenate([x[6] for x in trace])[keep], np.concatenate([x[7] for x in trace])[keep], grad)
-            down = np.zeros((len(keep), n), np.float32)
-            down[keep] = some
-            carried = np.zeros((lanes, n), np.float32)
-            places, outers = [], []
-            for (before, word, update, reset, new, back, _, _, _, first), d in zip(trace[::-1], np.split(down, len(trace))[::-1], strict=True):
-                d = d + carried
-                d_new = d * update * (1 - new**2)
-                d_update = d * (new - before) * update * (1 - update)
-                d_reset = d_new * back * reset * (1 - reset)
-                places.append(word)
-                outers.append(np.concatenate([d_update, d_reset, d_new], axis=1))
-                inner = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
-                grad["gates"] += before.T @ inner
-                carried = np.where(first[:, None], np.float32(0), d * (1 - update) + inner @ p["gates"].T)
-            outer = np.concatenate(outers)
-            _add_rows(grad["inputs"], np.concatenate(places), outer)
-            grad["gate_bias"] += outer.sum(axis=0)
+            _, found = log_outputs(p, v, after.reshape(-1, n)[keep], flat[now].ravel()[keep], grad)
+            down = np.zeros((steps * lanes, n), h.dtype)
+            down[keep] = found
+            down = down.reshape(steps, lanes, n)
+            # What a state's gradient is multiplied by on its way to the gates and to the content, for all steps at once.
+            update, reset = both[..., :n], both[..., n:]
+            to_new = update * (1 - new * new)
+            factors = np.empty((steps, lanes, 3, n), h.dtype)
+            factors[:, :, 0] = (new - before) * update * (1 - update)
+            np.multiply(to_new, reset, out=factors[:, :, 2])
+            factors[:, :, 1] = factors[:, :, 2] * back * (1 - reset)
+            past = 1 - update
+            inner, gates_up = np.empty_like(factors), np.ascontiguousarray(p["gates"].T)
+            carried = np.zeros((lanes, n), h.dtype)
+            for t in range(steps - 1, -1, -1):
+                d = down[t]
+                d += carried
+                np.multiply(d[:, None], factors[t], out=inner[t])
+                carried = inner[t].reshape(lanes, 3 * n) @ gates_up
+                carried += d * past[t]
+                if some[t]:
+                    carried[starts[t]] = 0
+            flat_inner = inner.reshape(-1, 3 * n)
+            grad["gates"] += before.reshape(-1, n).T @ flat_inner
+            # The words read reach the content past the reset gate.
+            np.multiply(down, to_new, out=inner[:, :, 2])
+            _add_rows(grad["inputs"], words, flat_inner)
+            grad["gate_bias"] += flat_inner.sum(axis=0)
+            size = max(1, int(keep.sum())) ** 0.5
             for k, g in grad.items():
-                g /= max(1, int(keep.sum())) ** 0.5
+                g /= size
                 np.clip(g, -1, 1, out=g)
                 speed[k] += g * g
-                p[k] += STEP * g / np.sqrt(speed[k])
+                g /= np.sqrt(speed[k])
+                g *= STEP
+                p[k] += g
     return p
 
 
