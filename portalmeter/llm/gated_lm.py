@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from portalmeter.llm.words import Scratch, mix, text_bytes
 
 FREQUENT, CLASSES, SPELLINGS = 2048, 48, 16
-HIDDEN, WINDOW, LANES = 16, 24, 192
+HIDDEN, WINDOW, LANES = 16, 32, 256
 CHUNK_CHARS = 9_000_000
 #: Every round trains on its share of the training documents, so that all of them are read once in each pass.
 ROUNDS, PASSES, STEP = 2, 1, 0.1
@@ -60,16 +60,21 @@ def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     buf = np.frombuffer(b"\n".join([t.lower() for t in texts]) + b"\n", np.uint8)
     text_ends = np.cumsum([len(t) + 1 for t in texts])
-    at = np.flatnonzero(~_IS_GAP[buf])
+    at = np.flatnonzero(~_IS_GAP.take(buf))
     opens = np.flatnonzero(np.append(True, np.diff(at) > 1)) if len(at) else np.empty(0, np.int64)
     owner = np.searchsorted(text_ends, at[opens], side="right")
     ends = np.cumsum(np.bincount(owner, minlength=len(texts)) + 1)
     keys, spell = np.full(int(ends[-1]), END, np.uint64), np.zeros(int(ends[-1]), np.int8)
     if len(opens):
-        size = np.diff(np.append(opens, len(at)))
+        size, signs = np.diff(np.append(opens, len(at))), buf.take(at)
         place = np.arange(len(at)) - np.repeat(opens, size)
-        values = (buf[at].astype(np.uint64) + np.uint64(1) + ((place >> 8).astype(np.uint64) << np.uint64(9))) * _FACTORS[place & 255]
-        flags = np.bitwise_or.reduceat(_FLAGS[buf[at]], opens)
+        values = signs.astype(np.uint64)
+        values += np.uint64(1)
+        if size.max() > 256:
+            values += (place >> 8).astype(np.uint64) << np.uint64(9)
+            place &= 255
+        values *= _FACTORS.take(place)
+        flags = np.bitwise_or.reduceat(_FLAGS.take(signs), opens)
         kind = np.where(flags & _SIGN, 3, np.where(flags & _BEYOND, 2, flags & _DIGIT))
         where = np.arange(len(opens)) + owner
         keys[where] = np.maximum(mix(np.add.reduceat(values, opens) + size.astype(np.uint64)), END + np.uint64(1))
@@ -383,8 +388,9 @@ def _chunks(chunk_chars: int):
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            # A few texts at a time, whose arrays stay in the processor's cache.
+            for at in range(0, batch.num_rows, 32):
+                part = batch.slice(at, 32)
                 texts = list(text_bytes(part.column(2)))
                 keys, spell, ends = hashed(texts)
                 cuts = ends[:-1]
