@@ -76,3 +76,17 @@ def with_spellings(df: DataFrame, url_col: str, out_col: str) -> DataFrame:
     forms += [trimmed, decoded_trimmed, repaired[trimmed], repaired[decoded_trimmed]]
     candidates = F.array(*[F.coalesce(F.col(form), url) for form in forms])
     return staged.withColumn(out_col, F.array_distinct(candidates)).drop(*forms)
+
+
+def spelling_root(url: Column) -> Column:
+    """What an address has in common with every spelling that ``with_spellings`` gives it.
+
+    Decoded until nothing changes, which takes at most a step per per cent sign and one more, without final slashes, and
+    with one mark for each run of characters beyond ASCII: decoding, trimming and repairing change nothing else. Different
+    addresses may share a root, so it says where to look and not what is equal.
+    """
+    steps = F.sequence(F.lit(0), F.length(url) - F.length(F.replace(url, F.lit("%"))))
+    decoded = F.aggregate(steps, url, lambda value, _: decode_plus(value))
+    plain = F.when(url.contains("%") | url.contains("+"), decoded).otherwise(url)
+    is_ascii = F.octet_length(plain) == F.length(plain)
+    return F.rtrim(F.when(is_ascii, plain).otherwise(F.regexp_replace(plain, r"[^\x00-\x7F]+", "?")), F.lit("/"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from portalmeter.config import PortalConfig
 from portalmeter.functions.periods import month_number
-from portalmeter.functions.urls import with_spellings
+from portalmeter.functions.urls import spelling_root, with_spellings
 from portalmeter.schemas import ALL_TIME
 
 PACKAGE_FIELDS = ("package_name", "organization_id", "publisher_id")
@@ -20,7 +20,7 @@ SPOT = "__spot"
 
 
 def _with_spot(df: DataFrame, by: list[str]) -> DataFrame:
-    return df.withColumn(SPOT, F.xxhash64(*by))
+    return df.withColumn(SPOT, F.hash(*by))
 
 
 def _is_filled(column: str) -> Column:
@@ -165,22 +165,29 @@ def resolve_resource(
     """Add the file's id and format, and its dataset, organisation and publisher.
 
     A file is the first of its dataset, by position, stored under any spelling of the address. ``hits`` has one row per
-    month, address and page, as ``resource_hits`` gives it, and is read once. Per dataset and address only the first
-    file can win, so the catalogue shrinks to that before the join and each spelling meets at most one row.
+    month, address and page, as ``resource_hits`` gives it, and is read once.
+
+    Hits and files are brought together once, by dataset and by what all spellings of an address have in common, so one
+    shuffle serves both the look-up of each spelling and the choice among the files found. Spellings are made after it.
     """
     row_key = ("url", "package_url", "year_month")
-    first_files = (
-        resource.where(F.coalesce("state", F.lit("")) != "deleted")
-        .groupBy("package_id", F.col("url").alias("spelling"))
-        .agg(F.min(F.struct("position", F.col("id").alias("resource_id"), "format")).alias("file"))
-    )
+    file = F.struct("position", F.col("id").alias("resource_id"), "format")
+    place = F.hash("package_id", spelling_root(F.col("url")))
+    listed = resource.where((F.coalesce("state", F.lit("")) != "deleted") & F.col("package_id").isNotNull() & F.col("url").isNotNull())
+    files = listed.select(place.alias(SPOT), "package_id", "url", file.alias("file"))
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
+    # Pages without a dataset meet no file, so they may go anywhere.
+    pages = pages.withColumn(SPOT, F.when(F.col("package_id").isNull(), F.hash(*row_key)).otherwise(place))
+    together = pages.unionByName(files, allowMissingColumns=True).repartition(SPOT)
+    is_hit = F.col("file").isNull()
+    spelled = with_spellings(together.withColumn("hit_url", F.when(is_hit, F.col("url"))), "hit_url", "spellings")
     # The outer form: the plain one would make Spark test the array's size early, at the price of building it twice.
-    candidates = with_spellings(pages, "url", "spellings").withColumn("spelling", F.explode_outer("spellings"))
-    file_key = ["package_id", "spelling"]
-    matched = _with_spot(candidates.drop("spellings"), file_key).join(_with_spot(first_files, file_key), [SPOT, *file_key], "left")
+    spelling = F.explode_outer(F.when(is_hit, F.col("spellings")).otherwise(F.array("url")))
+    candidates = spelled.withColumn("spelling", spelling).drop("spellings", "hit_url")
+    same_file = Window.partitionBy(SPOT, "package_id", "spelling")
+    matched = candidates.withColumn("found", F.min("file").over(same_file)).where(is_hit)
     carried = [c for c in (*hits.columns, *PACKAGE_FIELDS) if c not in row_key]
-    best = _with_spot(matched, list(row_key)).groupBy(SPOT, *row_key).agg(F.min("file").alias("file"), *[F.any_value(c).alias(c) for c in carried])
+    best = matched.groupBy(SPOT, *row_key).agg(F.min("found").alias("file"), *[F.any_value(c).alias(c) for c in carried])
     return best.select(
         *hits.columns,
         F.col("file.resource_id").alias("resource_id"),

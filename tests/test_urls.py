@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows_of
-from portalmeter.functions.urls import decode_plus, normalise_page_path, repair_latin1, with_spellings
+from portalmeter.functions.urls import decode_plus, normalise_page_path, repair_latin1, spelling_root, with_spellings
 
 LANGUAGES = ("es", "en", "eu", "ca", "gl")
 
@@ -87,3 +87,16 @@ def test_spellings(spark, text, expected):
     got = with_spellings(spark.createDataFrame([(text,)], "url string"), "url", "spellings")
     assert got.columns == ["url", "spellings"]
     assert got.first()["spellings"] == expected
+
+
+ROOTS = [
+    "http://f/a b", "http://f/a+b/", "http%3A%2F%2Ff%2Fa%2520b%2F", "x%25%34%31//", "%25%32%35%34%31", "Ã±%C3%B1/", "ñ%C3%B1",
+    "http://f/%C3%91/%C3", "http://f/%C3/", "%", "%2", "%2/", "%zz%+", "a%2B%2b", "文件/%E6%96%87", "/", "", "Ã%B1/",
+]
+
+
+@pytest.mark.parametrize("text", ROOTS)
+def test_all_spellings_have_one_root(spark, text):
+    listed = with_spellings(spark.createDataFrame([(text,)], "x string"), "x", "forms").select(F.explode("forms").alias("form"))
+    assert listed.select(spelling_root(F.col("form"))).distinct().count() == 1
+    assert listed.select(spelling_root(F.col("form"))).first()[0] == value_of(spark, spelling_root, text)
