@@ -261,35 +261,56 @@ def backfill_resource_range(resolved: DataFrame, resources_fact: DataFrame, firs
 # --- identities as a table of their own ----------------------------------------------------------------------
 
 
-def _known(rows: DataFrame, by: list[str], fields: tuple[str, ...]) -> DataFrame:
-    """Per key the identities of its two newest months, so that one month can be left out: newest, previous."""
-    month = rows.withColumn("age", -month_number(F.col("year_month"))).groupBy(*by, "age").agg(F.min(F.struct(*fields)).alias("identity"))
-    listed = month.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("age", "identity"))).alias("months"))
-    entry = lambda i: F.get("months", i)
-    return listed.select(*by, entry(0).alias("newest"), entry(1).alias("previous"))
+def _monthly(rows: DataFrame, by: list[str], fields: tuple[str, ...]) -> DataFrame:
+    """Rows as (key, age, identity)."""
+    return rows.select(*by, (-month_number(F.col("year_month"))).alias("age"), F.struct(*fields).alias("identity"))
+
+
+def _known(monthly: DataFrame, by: list[str]) -> DataFrame:
+    """Per key the identities of its two newest months, so that one month can be left out: newest, previous.
+
+    One shuffle by the key's number and one sort serve the least identity of a month and the order of the months.
+    """
+    key = [SPOT, *by]
+    month = _with_spot(monthly, by).repartition(SPOT).groupBy(*key, "age").agg(F.min("identity").alias("identity"))
+    by_age = Window.partitionBy(*key).orderBy("age")
+    entry = F.struct("age", "identity")
+    listed = month.select(*by, entry.alias("newest"), F.lead(entry).over(by_age).alias("previous"), F.row_number().over(by_age).alias("place"))
+    return listed.where("place = 1").drop("place")
 
 
 def package_identities(packages_fact: DataFrame) -> DataFrame:
     """(url, newest, previous): what the two newest months that know a path say of it, each (age, identity)."""
-    return _known(packages_fact.where(_usable_packages()), ["url"], PACKAGE_FIELDS)
+    return _known(_monthly(packages_fact.where(_usable_packages()), ["url"], PACKAGE_FIELDS), ["url"])
 
 
 def resource_identities(resources_fact: DataFrame) -> DataFrame:
     """(url, package_url, newest, previous) of files on pages."""
-    return _known(resources_fact.where(_usable_resources()), PAIR, RESOURCE_FIELDS)
+    return _known(_monthly(resources_fact.where(_usable_resources()), PAIR, RESOURCE_FIELDS), PAIR)
 
 
 def _changed(known: DataFrame, fact: DataFrame, period: str, by: list[str], usable: Column, fields: tuple[str, ...]) -> DataFrame:
-    # Keys that the month tells of now, or told of when it was last loaded.
+    """Identities after a month was replaced: the month's go in beside what is known of the other months.
+
+    Only keys that tell of the month as it was need the history, since an older month may come up in its place; it is not
+    read if there are none.
+    """
     age = -int(period.replace("-", ""))
-    told = known.where((F.col("newest.age") == age) | (F.col("previous.age") == age)).select(*by)
-    touched = fact.where(usable & (F.col("year_month") == period)).select(*by).union(told).distinct()
-    anew = _known(fact.where(usable).join(touched, by, "left_semi"), by, fields)
-    return known.join(touched, by, "left_anti").unionByName(anew)
+    told = F.coalesce(F.col("newest.age") == age, F.lit(False)) | F.coalesce(F.col("previous.age") == age, F.lit(False))
+    of_month = fact.where(usable & (F.col("year_month") == period)).dropna(subset=by)
+    now = _known(_monthly(of_month, by, fields), by).select(*by, F.col("newest").alias("now"))
+    months = F.array_sort(F.array_compact(F.array("newest", "previous", "now")))
+    others = known.where(~told).join(now, by, "left").select(*by, F.get(months, F.lit(0)).alias("newest"), F.get(months, F.lit(1)).alias("previous"))
+    first = now.join(known, by, "left_anti").withColumnRenamed("now", "newest").withColumn("previous", F.lit(None).cast(known.schema["previous"].dataType))
+    changed = others.unionByName(first)
+    if known.where(told).isEmpty():
+        return changed
+    history = fact.where(usable).join(known.where(told).select(*by), by, "left_semi")
+    return changed.unionByName(_known(_monthly(history, by, fields), by))
 
 
 def package_identities_changed(known: DataFrame, packages_fact: DataFrame, period: str) -> DataFrame:
-    """The identities after a month was replaced: only paths of the month, before or now, are looked up again."""
+    """The identities after a month was replaced. ``known`` is read several times and should be a stored table."""
     return _changed(known, packages_fact, period, ["url"], _usable_packages(), PACKAGE_FIELDS)
 
 

@@ -23,7 +23,7 @@ class Staging:
     def save(self, df: DataFrame) -> DataFrame:
         self._count += 1
         path = f"{self.root}/{self._count}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:

@@ -184,3 +184,37 @@ def test_files_and_their_hits_are_moved_once(spark, no_broadcast, table):
     df.collect()
     # Hits move to their dataset, then hits and files to each other, whatever the number of spellings.
     assert sum(n for n in shuffled_records(df) if n >= ROWS // 2) <= 3 * ROWS
+
+
+def file_fact(spark, months=2):
+    """A row per month and file, without hot keys."""
+    return spark.range(0, ROWS, 1, 8).crossJoin(spark.createDataFrame([(f"2024-{m + 1:02d}",) for m in range(months)], "year_month string")).select(
+        "year_month",
+        F.lit(28).alias("end_day"),
+        F.lit(1).cast("bigint").alias("total_events"),
+        F.concat(F.lit("http://f/"), F.col("id").cast("string")).alias("url"),
+        F.lit("CSV").alias("format"),
+        F.lit("/catalogo/d").alias("package_url"),
+        F.concat(F.lit("r"), F.col("id").cast("string")).alias("resource_id"),
+        F.lit("d").alias("package_name"),
+        F.lit("o").alias("organization_id"),
+        F.lit("p").alias("publisher_id"),
+    )
+
+
+def test_identities_move_rows_once(spark, no_broadcast):
+    df = identity.resource_identities(file_fact(spark))
+    rows = df.collect()
+    assert len(rows) == ROWS and all((r["newest"]["age"], r["previous"]["age"]) == (-202402, -202401) for r in rows)
+    assert sum(shuffled_records(df)) <= 2 * ROWS
+
+
+def test_history_is_not_read_for_a_month_that_identities_do_not_tell_of(spark, no_broadcast, tmp_path):
+    fact = file_fact(spark, 6)
+    identity.resource_identities(fact.where("year_month <> '2024-06'")).write.parquet(str(tmp_path / "known"))
+    known = spark.read.parquet(str(tmp_path / "known"))
+    df = identity.resource_identities_changed(known, fact, "2024-06")
+    rows = df.collect()
+    assert len(rows) == ROWS and all((r["newest"]["age"], r["previous"]["age"]) == (-202406, -202405) for r in rows)
+    # Known identities and their keys, the month's rows and what they tell twice; nothing of the five months before.
+    assert sum(shuffled_records(df)) <= 5 * ROWS
