@@ -202,6 +202,12 @@ def file_fact(spark, months=2):
     )
 
 
+def test_totals_of_files_move_rows_once(spark, no_broadcast):
+    df = facts.resource_all_time(file_fact(spark))
+    assert len(df.collect()) == ROWS
+    assert sum(shuffled_records(df)) <= 2 * ROWS
+
+
 def test_identities_move_rows_once(spark, no_broadcast):
     df = identity.resource_identities(file_fact(spark))
     rows = df.collect()
