@@ -154,6 +154,13 @@ def _filled_resources(rows: DataFrame) -> DataFrame:
     return rows.withColumns(filled).withColumn("resource_id", F.coalesce("resource_id", F.lit("")))
 
 
+def datasets_of_pages(hits: DataFrame, package: DataFrame, cfg: PortalConfig) -> DataFrame:
+    """(package_id) of every dataset that the page of some hit may mean, by id or by name."""
+    refs = hits.select(package_ref(F.col("package_url"), cfg).alias("ref")).distinct()
+    listed = package.select(F.col("id").alias("package_id"), F.explode(F.array("id", "name")).alias("known_ref"))
+    return listed.join(refs, F.col("known_ref") == F.col("ref"), "left_semi").select("package_id").distinct()
+
+
 def resolve_resource(
     hits: DataFrame,
     package: DataFrame,

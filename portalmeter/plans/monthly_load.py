@@ -24,6 +24,8 @@ from portalmeter.staging import Staging
 
 FACT_TABLES = ("packages_fact", "resources_fact", "visits_fact")
 LOAD_TABLES = ("rejected_rows", "load_totals")
+#: Up to so many datasets are sent to all tasks.
+FEW_DATASETS = 100_000
 
 
 def feed_of(period: str, cfg: PortalConfig) -> str:
@@ -37,9 +39,17 @@ def resolved_pages(counted: DataFrame, catalogue: Tables, cfg: PortalConfig, sta
 
 
 def resolved_files(counted: DataFrame, catalogue: Tables, cfg: PortalConfig, staging: Staging) -> DataFrame:
-    """Counted events with what the catalogue knows of them, stored, as for pages."""
-    tables = [catalogue[name] for name in ("package", "resource", "package_extra", "group")]
-    return staging.save(resolve_resource(counted, *tables, cfg))
+    """Counted events with what the catalogue knows of them, stored, as for pages.
+
+    Files of datasets without a hit cannot be found. Where few datasets have hits, those files are left out before files
+    and hits are brought together; where many have, a join to leave them out would move as much as it spares.
+    """
+    counted = staging.save(counted)
+    package, resource = catalogue["package"], catalogue["resource"]
+    seen = staging.save(identity.datasets_of_pages(counted, package, cfg))
+    if seen.count() <= FEW_DATASETS:
+        resource = resource.join(F.broadcast(seen), "package_id", "left_semi").select(*resource.columns)
+    return staging.save(resolve_resource(counted, package, resource, catalogue["package_extra"], catalogue["group"], cfg))
 
 
 def package_rows(

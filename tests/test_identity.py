@@ -165,3 +165,11 @@ def test_backfill_resource_keeps_nothing_of_a_file_not_found(table, catalogue):
         ("http://f/lost", "/catalogo/rain"): ("", None, None, None, None),
         ("http://f/lost", "/catalogo/none"): ("r9", "none", "o1", "p1", "PDF"),
     }
+
+
+def test_datasets_of_pages_are_all_that_a_page_may_mean(table, catalogue):
+    pages = ["/catalogo/fuel", "/catalogo/2", "/catalogo/2", "/catalogo/none", "/otro/snow", None]
+    hits = table(FILE_HITS, [("2024-01", 31, "http://f/a", page, 1) for page in pages])
+    got = [r["package_id"] for r in identity.datasets_of_pages(hits, catalogue["package"], CFG).collect()]
+    # The dataset named fuel and the one whose id that is.
+    assert sorted(got) == ["1", "2", "fuel"]
