@@ -141,8 +141,8 @@ def _write_packages(spark: SparkSession, store: FactStore, rows: DataFrame, stag
     if now.where(F.col("year_month") == ALL_TIME).isEmpty():
         store.replace(spark, package_all_time(now), "packages_fact", ALL_TIME)
         return
-    all_time, parts = now.where(F.col("year_month") == ALL_TIME), now.where(F.col("year_month") != ALL_TIME).withColumnRenamed("pageviews", "views")
-    changed = facts.package_all_time_changed(all_time, old, facts.package_parts(rows), parts.where("package_name <> ''"))
+    all_time, monthly = now.where(F.col("year_month") == ALL_TIME), now.where(F.col("year_month") != ALL_TIME)
+    changed = facts.package_all_time_changed(all_time, old, facts.package_parts(rows), monthly)
     store.replace(spark, changed, "packages_fact", ALL_TIME)
 
 
@@ -156,9 +156,8 @@ def _write_resources(spark: SparkSession, store: FactStore, rows: DataFrame, sta
     if now.where(F.col("year_month") == ALL_TIME).isEmpty():
         store.replace(spark, resource_all_time(now, cfg.catalogue_segment), "resources_fact", ALL_TIME)
         return
-    all_time, parts = now.where(F.col("year_month") == ALL_TIME), now.where(F.col("year_month") != ALL_TIME).withColumnRenamed("total_events", "events")
-    parts = parts.where("resource_id <> '' and package_name <> ''")
-    changed = facts.resource_all_time_changed(all_time, old, facts.resource_parts(rows), parts, cfg.catalogue_segment)
+    all_time, monthly = now.where(F.col("year_month") == ALL_TIME), now.where(F.col("year_month") != ALL_TIME)
+    changed = facts.resource_all_time_changed(all_time, old, facts.resource_parts(rows), monthly, cfg.catalogue_segment)
     store.replace(spark, changed, "resources_fact", ALL_TIME)
 
 

@@ -224,3 +224,16 @@ def test_history_is_not_read_for_a_month_that_identities_do_not_tell_of(spark, n
     assert len(rows) == ROWS and all((r["newest"]["age"], r["previous"]["age"]) == (-202406, -202405) for r in rows)
     # Known identities and their keys, the month's rows and what they tell twice; nothing of the five months before.
     assert sum(shuffled_records(df)) <= 5 * ROWS
+
+
+def test_totals_after_a_change_move_rows_once_and_add_up_touched_files_only(spark, no_broadcast, tmp_path):
+    file_fact(spark).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    facts.resource_all_time(fact).write.parquet(str(tmp_path / "before"))
+    before = spark.read.parquet(str(tmp_path / "before"))
+    month = facts.resource_parts(fact.where("year_month = '2024-02' and url like '%/77_'"))
+    df = facts.resource_all_time_changed(before, month, month, fact)
+    rows = df.collect()
+    assert len(rows) == ROWS and {r["total_events"] for r in rows} == {2}
+    # Both months' rows and the all-time rows move to the touched keys; what goes on from there is a few files' rows.
+    assert sum(shuffled_records(df)) <= 3 * ROWS + 2000
