@@ -237,3 +237,19 @@ def test_totals_after_a_change_move_rows_once_and_add_up_touched_files_only(spar
     assert len(rows) == ROWS and {r["total_events"] for r in rows} == {2}
     # Both months' rows and the all-time rows move to the touched keys; what goes on from there is a few files' rows.
     assert sum(shuffled_records(df)) <= 3 * ROWS + 2000
+
+
+def test_totals_of_datasets_with_many_pairs_shrink_before_the_shuffle(spark, table):
+    fact = spark.range(0, ROWS, 1, 8).select(
+        F.lit("2024-01").alias("year_month"),
+        F.lit(31).alias("end_day"),
+        F.lit(1).cast("bigint").alias("pageviews"),
+        F.concat(F.lit("/catalogo/"), F.format_string("%06d", "id")).alias("url"),
+        F.concat(F.lit("d"), (F.col("id") % 10).cast("string")).alias("package_name"),
+        F.col("id").cast("string").alias("organization_id"),
+        F.lit("p").alias("publisher_id"),
+    )
+    df = facts.package_all_time(fact)
+    got = {r["package_name"]: (r["pageviews"], r["organization_id"]) for r in df.collect()}
+    assert got == {f"d{i}": (ROWS // 10, str(i)) for i in range(10)}
+    assert sum(shuffled_records(df)) <= 8 * 10
