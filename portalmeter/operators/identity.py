@@ -17,6 +17,8 @@ RESOURCE_FIELDS = ("resource_id", "package_name", "organization_id", "publisher_
 #: A number that goes before text keys. Addresses begin alike, so sorting by them alone compares them in full; with the
 #: number first, sorts of joins and aggregations mostly compare numbers. Equal numbers are still told apart by the keys.
 SPOT = "__spot"
+#: Bits that say which keys are looked up, 32 MB of them at most, and the bits of one of their bitmaps, as Spark has them.
+LOOKUP_BITS, BITMAP_BITS = 1 << 28, 1 << 15
 
 
 def _with_spot(df: DataFrame, by: list[str]) -> DataFrame:
@@ -94,17 +96,37 @@ def resolve_package(
     return _join_package(hits, "url", catalogue_identities(package, extra, group), cfg).drop("package_id")
 
 
+def _bit(by: list[str]) -> tuple[Column, Column]:
+    """The bit that stands for a key: the number of its bitmap and its place there."""
+    bit = F.pmod(F.xxhash64(*by), F.lit(LOOKUP_BITS))
+    return F.floor(bit / BITMAP_BITS).cast("int"), (bit % BITMAP_BITS).cast("int")
+
+
+def _perhaps_in(rows: DataFrame, by: list[str], wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose key is not in ``wanted``; none of the others is left out.
+
+    Bitmaps of the wanted keys, of ``LOOKUP_BITS`` at most whatever the number of keys, go to all tasks, so that rows are
+    dropped where they are instead of after a shuffle. A key may share its bit with another, so a join must follow.
+    """
+    number, place = _bit(by)
+    bitmaps = wanted.select(number.alias("__bitmap"), place.alias("__place")).groupBy("__bitmap").agg(F.bitmap_construct_agg("__place").alias("__bits"))
+    marked = rows.withColumns({"__bitmap": number, "__place": place}).join(F.broadcast(bitmaps), "__bitmap")
+    # One character per byte, whose code is the byte's value.
+    byte = F.ascii(F.decode(F.substring("__bits", F.shiftright("__place", 3) + 1, F.lit(1)), "ISO-8859-1"))
+    is_set = F.getbit(byte, F.col("__place") % 8) == 1
+    return marked.where(is_set).select(*rows.columns)
+
+
 def _newest_identity(
     rows: DataFrame, by: list[str], fields: tuple[str, ...], wanted: DataFrame
 ) -> DataFrame:
     """Per key and its ``SPOT``, the fields of its newest month; among equals of one month, the smallest.
 
-    ``wanted`` holds the only keys of interest: few of all the keys there ever were.
+    ``wanted`` holds the only keys of interest: few of all the keys there ever were. Some others may be among the result.
     """
     key = [SPOT, *by]
-    rows = _with_spot(rows, by).join(_with_spot(wanted.select(*by), by).distinct(), key, "left_semi")
     candidate = F.struct((-month_number(F.col("year_month"))).alias("age"), *fields)
-    newest = rows.groupBy(*key).agg(F.min(candidate).alias("newest"))
+    newest = _with_spot(_perhaps_in(rows, by, wanted), by).groupBy(*key).agg(F.min(candidate).alias("newest"))
     return newest.select(*key, *[F.col(f"newest.{name}").alias(f"past_{name}") for name in fields])
 
 
@@ -179,13 +201,13 @@ def resolve_resource(
     """
     row_key = ("url", "package_url", "year_month")
     file = F.struct("position", F.col("id").alias("resource_id"), "format")
-    place = F.hash("package_id", spelling_root(F.col("url")))
     listed = resource.where((F.coalesce("state", F.lit("")) != "deleted") & F.col("package_id").isNotNull() & F.col("url").isNotNull())
-    files = listed.select(place.alias(SPOT), "package_id", "url", file.alias("file"))
+    files = listed.select("package_id", "url", file.alias("file"))
     pages = _join_package(hits, "package_url", catalogue_identities(package, extra, group), cfg)
-    # Pages without a dataset meet no file, so they may go anywhere.
-    pages = pages.withColumn(SPOT, F.when(F.col("package_id").isNull(), F.hash(*row_key)).otherwise(place))
-    together = pages.unionByName(files, allowMissingColumns=True).repartition(SPOT)
+    # Pages without a dataset meet no file, so they may go anywhere. The number is made again after the shuffle: it hardly
+    # compresses, and both sides of the shuffle make the same one.
+    spot = F.when(F.col("package_id").isNull(), F.hash(*row_key)).otherwise(F.hash("package_id", spelling_root(F.col("url"))))
+    together = pages.unionByName(files, allowMissingColumns=True).repartition(spot).withColumn(SPOT, spot)
     is_hit = F.col("file").isNull()
     spelled = with_spellings(together.withColumn("hit_url", F.when(is_hit, F.col("url"))), "hit_url", "spellings")
     # The outer form: the plain one would make Spark test the array's size early, at the price of building it twice.

@@ -253,3 +253,19 @@ def test_totals_of_datasets_with_many_pairs_shrink_before_the_shuffle(spark, tab
     got = {r["package_name"]: (r["pageviews"], r["organization_id"]) for r in df.collect()}
     assert got == {f"d{i}": (ROWS // 10, str(i)) for i in range(10)}
     assert sum(shuffled_records(df)) <= 8 * 10
+
+
+@pytest.mark.parametrize("lost_ones", [300, ROWS])
+def test_history_of_files_not_looked_up_is_not_moved(spark, no_broadcast, tmp_path, lost_ones):
+    file_fact(spark).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    resolved = fact.where("year_month = '2024-02'").withColumn("year_month", F.lit("2024-03"))
+    is_lost = F.substring("resource_id", 2, 9).cast("int") % (ROWS // lost_ones) == 0
+    resolved = resolved.withColumns({c: F.when(~is_lost, F.col(c)) for c in ("package_name", "resource_id")})
+    resolved.select(*fact.columns).write.parquet(str(tmp_path / "resolved"))
+    df = identity.backfill_resource(spark.read.parquet(str(tmp_path / "resolved")), fact)
+    rows = df.collect()
+    # All that were lost are told by the months before, and none of the others got anything else.
+    assert len(rows) == ROWS and all(r["resource_id"] == "r" + r["url"][len("http://f/"):] and r["package_name"] == "d" for r in rows)
+    if lost_ones < ROWS:
+        assert sum(shuffled_records(df)) < ROWS // 10
