@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portalmeter.llm.words import Scratch, mix, text_bytes
+from portalmeter.llm.words import Scratch, arrow_batches, mix, text_bytes
 
 FREQUENT, CLASSES, SPELLINGS = 2048, 48, 16
 HIDDEN, WINDOW, LANES = 16, 32, 256
@@ -363,10 +363,29 @@ def _unpack(flat: np.ndarray, n: int) -> dict[str, np.ndarray]:
 # --- Spark ---------------------------------------------------------------------------------------------------
 
 _CHUNK = pa.schema(
-    [("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("has_id", pa.list_(pa.bool_())), ("held", pa.list_(pa.bool_())), ("ends", pa.list_(pa.int32())), ("ids", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())),
-     ("spell", pa.list_(pa.int8())), ("n", pa.list_(pa.int32()))]
+    [("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("has_id", pa.list_(pa.bool_())), ("held", pa.list_(pa.bool_())), ("ends", pa.list_(pa.int32())), ("ids", pa.binary()), ("keys", pa.binary()),
+     ("spell", pa.binary()), ("n", pa.binary())]
 )
-_CHUNK_DDL = "chunk long, doc_id array<long>, has_id array<boolean>, held array<boolean>, ends array<int>, ids array<int>, keys array<long>, spell array<tinyint>, n array<int>"
+_CHUNK_DDL = "chunk long, doc_id array<long>, has_id array<boolean>, held array<boolean>, ends array<int>, ids binary, keys binary, spell binary, n binary"
+#: What has a number for each token or word of a chunk is packed: as arrays, a chunk's row and the copies that Spark makes
+#: of it while it is read, moved and sent to Python take several times the memory.
+_PACKED = {"ids": np.int32, "keys": np.uint64, "spell": np.int8, "n": np.int32}
+#: Bytes of chunks that are sent to Python at once, a chunk at least.
+BATCH_BYTES = 4 << 20
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers as bytes: how many there are, then the lowest byte of each, the next byte of each and so on, compressed."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes | pa.Buffer, dtype: type) -> np.ndarray:
+    """The numbers that ``packed`` was given."""
+    data, kind = memoryview(data), np.dtype(dtype)
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], decompressed_size=n * kind.itemsize, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, n).T).view(kind).ravel()
 
 
 def _chunks(chunk_chars: int):
@@ -384,7 +403,12 @@ def _chunks(chunk_chars: int):
             unique, first, ids = np.unique(every, return_index=True, return_inverse=True)
             learnt = np.repeat(~np.array(held_out), [len(k) for k in keys])
             n = np.bincount(ids[learnt], minlength=len(unique))
-            row = [base + number, [i or 0 for i in doc_id], [i is not None for i in doc_id], held_out, ends, ids, unique.view(np.int64), np.concatenate(spell)[first], n]
+            # Frequent words get small numbers, which are packed best.
+            order = np.argsort(-n, kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order))
+            numbers = rank[ids], unique[order], np.concatenate(spell)[first[order]], n[order].astype(np.int32)
+            row = [base + number, [i or 0 for i in doc_id], [i is not None for i in doc_id], held_out, ends, *map(packed, numbers)]
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
 
         for batch in batches:
@@ -408,9 +432,10 @@ def _chunks(chunk_chars: int):
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of chunks (keys, spell, n) that stand in training texts."""
     for batch in batches:
-        keys, spell, n = (c.flatten().to_numpy(zero_copy_only=False) for c in batch.columns)
-        seen = n > 0
-        yield pa.RecordBatch.from_arrays([pa.array(keys[seen]), pa.array(spell[seen].astype(np.int32)), pa.array(n[seen].astype(np.int64))], names=["key", "spell", "n"])
+        for row in _rows(batch):
+            seen = row["n"] > 0
+            columns = [row["keys"].view(np.int64)[seen], row["spell"][seen].astype(np.int32), row["n"][seen].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "spell", "n"])
 
 
 _BLOCK = 8192
@@ -423,11 +448,11 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"member": [pdf["member"].iloc[0] // FAN_IN], "block": [pdf["block"].iloc[0]], "weight": [weight], "values": [(total / weight).astype(np.float32)]})
 
 
-def train_model(chunks: DataFrame, vocabulary: Vocabulary, scratch: Scratch, rounds: int = ROUNDS) -> np.ndarray:
+def train_model(chunks: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Parameters after ``rounds`` over the training documents of chunks, each document in one of them.
 
-    In a round every task goes on from the mean of the round before, over its chunks one after another, and gives back
-    one set of parameters. These are averaged by the tokens they have seen, in a tree of groups of FAN_IN.
+    In a round the chunks that one task has made are read one after another, going on from the mean of the round before,
+    and give one set of parameters. These are averaged by the tokens they have seen, in a tree of groups of FAN_IN.
     """
     flat = _pack(initial(vocabulary))
     if not vocabulary.n:
@@ -436,42 +461,54 @@ def train_model(chunks: DataFrame, vocabulary: Vocabulary, scratch: Scratch, rou
     held = send(vocabulary)
 
     def trained_from(now, turn: int):
+        def result(member: int, p: dict[str, np.ndarray], size: int) -> pa.RecordBatch:
+            parts = np.array_split(_pack(p), max(1, len(now.value) // _BLOCK))
+            n = len(parts)
+            columns = [pa.array([member] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([float(size)] * n), pa.array(parts, pa.list_(pa.float32()))]
+            return pa.RecordBatch.from_arrays(columns, names=["member", "block", "weight", "values"])
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            v, p, size = held.value, _unpack(now.value, held.value.n), 0
+            v, member, p, size = held.value, -1, {}, 0
             for batch in batches:
                 for row in _rows(batch):
-                    every = v.ids(row["keys"].view(np.uint64), row["spell"].astype(np.int64))[row["ids"]]
+                    if row["chunk"] >> 32 != member:
+                        if size:
+                            yield result(member, p, size)
+                        member, p, size = row["chunk"] >> 32, _unpack(now.value, v.n), 0
+                    every = v.ids(row["keys"], row["spell"].astype(np.int64))[row["ids"]]
                     documents = np.split(every, row["ends"][:-1])
                     mine = [d for i, (d, out) in enumerate(zip(documents, row["held"], strict=True)) if not out and i % rounds == turn]
                     if mine:
                         p = train_documents(p, v, mine, v.start)
                         size += sum(map(len, mine))
             if size:
-                parts = np.array_split(_pack(p), max(1, len(now.value) // _BLOCK))
-                n = len(parts)
-                columns = [pa.array([TaskContext.get().partitionId()] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([float(size)] * n), pa.array(parts, pa.list_(pa.float32()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["member", "block", "weight", "values"])
+                yield result(member, p, size)
 
         return run
 
+    members = (chunks.agg(F.max("chunk")).first()[0] or 0) // 2**32 + 1
     for turn in range(rounds):
-        learnt = chunks.select("held", "ends", "ids", "keys", "spell").mapInArrow(trained_from(send(flat), turn), _PARTS)
-        trained = scratch.save(learnt, f"trained-{turn}")
-        members = (trained.agg(F.max("member")).first()[0] or 0) + 1
-        mean = trained
+        mean = chunks.select("chunk", "held", "ends", "ids", "keys", "spell").mapInArrow(trained_from(send(flat), turn), _PARTS)
         for _ in range(max(1, math.ceil(math.log(members, FAN_IN)) if members > 1 else 1)):
             mean = mean.groupBy("block", F.floor(F.col("member") / FAN_IN)).applyInPandas(_average, _PARTS)
-        rows = mean.orderBy("block").select("values").collect()
-        scratch.drop(f"trained-{turn}")
+        # The parameters of tasks go straight to their groups, not by way of a small file for each task.
+        with arrow_batches(chunks.sparkSession, BATCH_BYTES):
+            rows = sorted(mean.select("block", "values").collect())
         if rows:
-            flat = np.concatenate([np.asarray(r[0], np.float32) for r in rows])
+            flat = np.concatenate([np.asarray(r[1], np.float32) for r in rows])
     return flat
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
-    """The rows of lists in a batch, as arrays."""
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of chunks in a batch: the chunk's number, and arrays."""
+
+    def value(name: str, x: pa.Scalar) -> int | np.ndarray:
+        if name == "chunk":
+            return x.as_py()
+        return unpacked(x.as_buffer(), _PACKED[name]) if name in _PACKED else x.values.to_numpy(zero_copy_only=False)
+
     for i in range(batch.num_rows):
-        yield {name: batch.column(name)[i].values.to_numpy(zero_copy_only=False) for name in batch.schema.names}
+        yield {name: value(name, batch.column(name)[i]) for name in batch.schema.names}
 
 
 def lm_scores(docs: DataFrame, scratch: Scratch, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
@@ -484,27 +521,30 @@ def lm_scores(docs: DataFrame, scratch: Scratch, chunk_chars: int = CHUNK_CHARS)
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    chunks = scratch.save(plain.mapInArrow(_chunks(chunk_chars), _CHUNK_DDL), "chunks")
+    chunks = scratch.save(plain.mapInArrow(_chunks(chunk_chars), _CHUNK_DDL), "chunks", rows_a_group=1)
 
     local = chunks.select("keys", "spell", "n").mapInArrow(_word_counts, "key long, spell int, n long")
-    counts = scratch.save(local.groupBy("key").agg(F.max("spell").alias("spell"), F.sum("n").alias("c")), "counts")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        # In few files: there are far fewer words than rows that are added up.
+        added = local.groupBy("key").agg(F.max("spell").alias("spell"), F.sum("n").alias("c"))
+        counts = scratch.save(added.hint("rebalance"), "counts")
     top = counts.orderBy(F.desc("c"), "key").limit(FREQUENT).collect()
     least = (top[-1]["c"], top[-1]["key"]) if top else (0, 0)
     below = counts.where((F.col("c") < least[0]) | (F.col("c") == least[0]) & (F.col("key") > least[1]))
     rare = {r["spell"]: (r["n"], r["v"]) for r in below.groupBy("spell").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     whole = counts.agg(F.sum("c"), F.count("*")).first()
     vocabulary = Vocabulary([(r["key"] % 2**64, r["c"]) for r in top], rare, whole[0] or 0, whole[1])
-    flat = train_model(chunks, vocabulary, scratch)
+    flat = train_model(chunks, vocabulary)
     send = docs.sparkSession.sparkContext.broadcast
     held, parameters = send(vocabulary), send(flat)
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, row in zip(batch.column(0).to_pylist(), _rows(batch.drop_columns(["chunk"])), strict=True):
-                at = np.flatnonzero(held.value.frequent(row["keys"].view(np.uint64)) < 0)
+            for row in _rows(batch):
+                at = np.flatnonzero(held.value.frequent(row["keys"]) < 0)
                 # A word's place in the chunk and its training count there, in one number.
-                packed = (at << 32) | row["n"][at].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk)), pa.array(packed), pa.array(row["keys"][at])], names=["own", "packed", "key"])
+                both = (at << 32) | row["n"][at].astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), row["chunk"])), pa.array(both), pa.array(row["keys"].view(np.int64)[at])], names=["own", "packed", "key"])
 
     wanted = chunks.select("chunk", "keys", "n").mapInArrow(rare_words, "own long, packed long, key long")
     # Most rare words stand in one chunk alone: the count it has itself is right.
@@ -514,11 +554,11 @@ def lm_scores(docs: DataFrame, scratch: Scratch, chunk_chars: int = CHUNK_CHARS)
     def score(chunk: pd.DataFrame, counts_of: pd.DataFrame) -> pd.DataFrame:
         v, row = held.value, chunk.iloc[0]
         p = _unpack(parameters.value, v.n)
-        keys, spell, texts, ends = row["keys"].view(np.uint64), row["spell"].astype(np.int64), row["ids"], row["ends"]
+        keys, spell, texts, n = (unpacked(row[k], _PACKED[k]).astype(t, copy=False) for k, t in (("keys", np.uint64), ("spell", np.int64), ("ids", np.int32), ("n", np.int64)))
+        ends = row["ends"]
         frequent = v.frequent(keys)
         is_rare = frequent < 0
-        known = row["n"].astype(np.int64)
-        known[~is_rare] = v.counts[frequent[~is_rare]]
+        known = np.where(is_rare, n, v.counts[frequent] if v.n else 0)
         if len(counts_of):
             known[counts_of["place"].to_numpy()] = counts_of["c"].to_numpy()
         within = np.where(is_rare, v.rare_log(spell, known), 0.0)

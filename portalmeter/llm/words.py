@@ -10,6 +10,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +52,15 @@ class Scratch:
             local = None
         self.root = f"{shared_dir(spark, local).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes a table once and reads it from there: cuts the lineage, and lost executors lose nothing of it."""
+    def save(self, df: DataFrame, name: str, rows_a_group: int = 0) -> DataFrame:
+        """Writes a table once and reads it from there: cuts the lineage, and lost executors lose nothing of it.
+
+        ``rows_a_group``: rows in a row group of a file at most, where rows are large; those of a group are read at once.
+        0 leaves it to Spark.
+        """
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        to = df.write.mode("overwrite")
+        (to.option("parquet.block.row.count.limit", rows_a_group) if rows_a_group else to).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -65,6 +71,20 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What runs within this sends rows to Python in batches of about so many bytes, unless the session has its own limit."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None):
+        yield
+        return
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 # --- inside tasks --------------------------------------------------------------------------------------------
 
 

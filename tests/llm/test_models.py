@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import glob
 import math
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from llm_data import corpus, prose, rows_of, words
@@ -16,6 +19,7 @@ from portalmeter.llm.ball_tree import top_inner_products
 from portalmeter.llm.dom_marginals import MAINS, Forest, Page, extract_main_text, labelled_pages, main_texts, marginals, model, train
 from portalmeter.llm.quality_rules import STATISTICS, fit_rules, learn_quality, score_quality, with_statistics
 from portalmeter.llm.url_templates import judge_urls, template_purities
+from portalmeter.llm.words import arrow_batches
 
 
 def test_base_scores_and_probabilities(docs, scratch):
@@ -33,6 +37,49 @@ def test_base_scores_and_probabilities(docs, scratch):
     assert rows_of(gated_lm.lm_scores(docs.limit(0), scratch)) == []
 
 
+@pytest.mark.parametrize("dtype", [np.int8, np.int32, np.uint64])
+def test_packed_numbers_come_back(dtype):
+    for n in (0, 1, 7, 1000):
+        numbers = np.random.default_rng(n).integers(np.iinfo(dtype).min, np.iinfo(dtype).max, n, dtype, endpoint=True)
+        got = gated_lm.unpacked(gated_lm.packed(numbers), dtype)
+        assert got.dtype == numbers.dtype and got.tolist() == numbers.tolist()
+
+
+def test_chunks_are_stored_small_and_read_one_at_a_time(spark, scratch):
+    some = prose(1, 500).split()
+    r = random.Random(0)
+    docs = spark.createDataFrame([(i, " ".join(r.choices(some, k=300))) for i in range(200)], "doc_id long, text string")
+    gated_lm.lm_scores(docs.coalesce(1), scratch, chunk_chars=100_000)
+    files = [pq.ParquetFile(p) for p in glob.glob(f"{scratch.root}/chunks/*.parquet")]
+    groups = [(f, k) for f in files for k in range(f.num_row_groups)]
+    assert len(groups) > 2 and all(f.metadata.row_group(k).num_rows == 1 for f, k in groups)
+    for f, k in groups:
+        chunk = f.read_row_group(k)
+        # A key of 8 bytes for each word; tokens as plain numbers would take 4 bytes each besides.
+        words = len(gated_lm.unpacked(chunk["keys"][0].as_py(), np.uint64))
+        assert chunk.select(["ids", "keys", "spell", "n"]).nbytes < 10 * words + 2 * chunk["ends"][0].as_py()[-1] + 200
+
+
+def test_batches_for_python_are_bounded(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = spark.range(0, 12, 1, 1).selectExpr("repeat('x', 100000) x")
+    count = lambda: [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    with arrow_batches(spark, 250_000):
+        assert max(count()) < 5
+    assert count() == [12]
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "100000")
+    try:
+        # The limit of the session stays.
+        with arrow_batches(spark, 10_000_000):
+            assert max(count()) < 3
+        assert max(count()) < 3
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
 def vocabulary_of(texts):
     keys, spell, ends = gated_lm.hashed([t.encode() for t in texts])
     unique, counts = np.unique(keys, return_counts=True)
